@@ -45,6 +45,7 @@ def _item_code(t: Column) -> Column:
         .when(F.trim(d) == "", "e")
         .when(d.rlike(r"(?i)^\s*(?:jr|sr|ii|iii|iv)\.?\s*$"), "J")
         .when(d.rlike(r"^\s*(?:\p{Lu}[\p{M}]*\.?[\s-]?){1,4}\s*$"), "i")
+        .when(d.rlike(rf"(?iU)^\s*(?!univ)(?:{'|'.join(ORG_WORDS)})\b\.?\s(?:for|of)\s+\S+\s*$"), "O")
         .when(d.rlike(r"(?iU)\b(?:for|of)\s+\S+\s*$"), "o")
         .when(d.rlike(_ORG), "f")
         .when(d.rlike(rf"^\s*{_PARTICLES}\S+\s*$"), "w")
@@ -57,7 +58,8 @@ def resolve_author_skeleton(s: str) -> str:
     """The split mask of one author skeleton: S starts a value, J joins on, X is dropped.
 
     ``c`` comma, ``a`` the word "and", ``s`` any other delimiter, ``w`` one word, ``g`` a given
-    name with initials, ``i`` initials, ``o`` ends in "for/of X", ``J`` name suffix, ``Q``
+    name with initials, ``i`` initials, ``o`` ends in "for/of X", ``O`` nothing but
+    "Institute of X" (its name is still to come), ``J`` name suffix, ``Q``
     quoted, ``e`` blank, ``f`` anything else."""
     out = ["X"] * len(s)
     pieces = [k for k, ch in enumerate(s) if ch not in "case"]
@@ -79,6 +81,8 @@ def resolve_author_skeleton(s: str) -> str:
             join, done_next = True, True
         elif prev >= 0 and gap == "a" and s[prev] == "o" and ch == "w" and after_is_delim and (k + 1 >= n or s[k + 1] != "c" or k + 2 >= n or s[k + 2] not in "gi"):
             join, done_next = True, True
+        elif prev >= 0 and gap == "a" and s[prev] == "O" and ch in "wf":
+            join, done_next = True, True
         elif prev >= 0 and gap == "":
             join, done_next = True, done
         else:
