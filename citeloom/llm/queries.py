@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.llm.batches import batch_pairs, batch_papers, near_classes
 from citeloom.llm.leakage import find_leaks
 from citeloom.llm.mixing import mix_documents, mix_report, token_lengths
+from citeloom.llm.names import entity_pairs, link_names
+from citeloom.llm.survivors import best_rows, merged_documents, merged_records
 from citeloom.llm.titles import collapse_titles, title_groups
+from citeloom.operators.packed import split_packed
 from citeloom.session import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +46,51 @@ groups AS (SELECT tbl, words, min(k) AS first_key, count(*) AS copies FROM words
 """
 
 
+def author_spellings(spark: SparkSession, d: str) -> DataFrame:
+    """Every author of papers.authors and refs.authors as spelt."""
+    listed = table(spark, d, "papers").select(F.explode("authors").alias("name")).select(F.trim("name").alias("name"))
+    packed = split_packed(table(spark, d, "refs"), "ref_id", "authors", "authors").select(F.col("item").alias("name"))
+    return listed.unionByName(packed)
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct spelling of an author with the least spelling of its class."""
+    return link_names(author_spellings(spark, d))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return entity_pairs(p3_entities(spark, d))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return batch_pairs(table(spark, d, "documents"))
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its class of near-copies, over all batches."""
+    return near_classes(table(spark, d, "documents"))
+
+
+def p4_papers(spark: SparkSession, d: str) -> DataFrame:
+    """The paper of every document that is like one of an earlier batch."""
+    return batch_papers(table(spark, d, "documents"), table(spark, d, "papers"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return best_rows(table(spark, d, "papers"), table(spark, d, "feeds"))
+
+
+def p7_records(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of every group of two or more rows."""
+    r = merged_records(table(spark, d, "papers"), table(spark, d, "feeds"))
+    return r.withColumn("authors", F.array_join("authors", "; "))
+
+
+def p7_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of every surviving record, one per row."""
+    return merged_documents(table(spark, d, "papers"))
+
+
 def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Every stretch of at least 13 words of an item in a document, with its place in the text."""
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
@@ -72,6 +121,9 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found, "p1_titles": p1_titles,
+        "p3_found": p3_found, "p3_entities": p3_entities,
+        "p4_found": p4_found, "p4_classes": p4_classes, "p4_papers": p4_papers,
+        "p7_found": p7_found, "p7_records": p7_records, "p7_documents": p7_documents,
         "p8_found": p8_found, "p8_leaks": p8_leaks,
         "p9_found": p9_found, "p9_shares": p9_shares, "p9_mix": p9_mix,
     }
@@ -82,6 +134,13 @@ def llm_sql() -> dict[str, str]:
         "p1_found": f"""WITH {_P1_WORDS}
 SELECT tbl, first_key, k AS dup_key FROM words JOIN groups USING (tbl, words) WHERE k <> first_key""",
         "p1_titles": f"WITH {_P1_WORDS} SELECT tbl, first_key, words, copies FROM groups",
+        "p4_found": """
+WITH w AS (SELECT doc_id, batch_no, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE batch_no IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, batch_no, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT doc_id, batch_no, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL),
+shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS c FROM g a JOIN g b USING (g)
+  WHERE a.doc_id < b.doc_id AND a.batch_no <> b.batch_no GROUP BY ALL)
+SELECT doc_a, doc_b FROM shared JOIN n x ON doc_a = x.doc_id JOIN n y ON doc_b = y.doc_id WHERE c * 2 >= x.n + y.n - c""",
         "p8_found": """
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
