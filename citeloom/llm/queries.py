@@ -11,6 +11,7 @@ from citeloom.llm.batches import batch_pairs, batch_papers, near_classes
 from citeloom.llm.leakage import find_leaks
 from citeloom.llm.mixing import mix_documents, mix_report, token_lengths
 from citeloom.llm.names import entity_pairs, link_names
+from citeloom.llm.spans import shared_shares, shared_spans
 from citeloom.llm.survivors import best_rows, merged_documents, merged_records
 from citeloom.llm.titles import collapse_titles, title_groups
 from citeloom.operators.packed import split_packed
@@ -118,6 +119,20 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_shares(spark, d).where("not reachable").select("source")
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans(table(spark, d, "documents")).select("doc_id").distinct()
+
+
+def p10_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The stretches of every document that stand in another one too."""
+    return shared_spans(table(spark, d, "documents"))
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    """How much of every document stands elsewhere too."""
+    return shared_shares(table(spark, d, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found, "p1_titles": p1_titles,
@@ -126,6 +141,7 @@ def llm_queries() -> dict[str, Query]:
         "p7_found": p7_found, "p7_records": p7_records, "p7_documents": p7_documents,
         "p8_found": p8_found, "p8_leaks": p8_leaks,
         "p9_found": p9_found, "p9_shares": p9_shares, "p9_mix": p9_mix,
+        "p10_found": p10_found, "p10_spans": p10_spans, "p10_shares": p10_shares,
     }
 
 
