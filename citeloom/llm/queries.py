@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.batches import batch_pairs, batch_papers, near_classes
 from citeloom.llm.leakage import find_leaks
+from citeloom.llm.lookalikes import consistent_texts
 from citeloom.llm.mixing import mix_documents, mix_report, token_lengths
 from citeloom.llm.names import entity_pairs, link_names
 from citeloom.llm.spans import shared_shares, shared_spans
@@ -47,6 +48,19 @@ groups AS (SELECT tbl, words, min(k) AS first_key, count(*) AS copies FROM words
 """
 
 
+def p2_forms(spark: SparkSession, d: str) -> DataFrame:
+    """papers.title and refs.raw in one consistent form."""
+    rows = (
+        table(spark, d, "papers").select(F.lit("papers").alias("tbl"), F.col("paper_no").alias("row_key"), F.col("title").alias("text"))
+        .unionByName(table(spark, d, "refs").select(F.lit("refs").alias("tbl"), F.col("ref_id").alias("row_key"), F.col("raw").alias("text")))
+    )
+    return consistent_texts(rows, "tbl", "row_key", "text").withColumnsRenamed({"scope": "tbl", "key": "row_key"})
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_forms(spark, d).where("changed").select("tbl", "row_key")
+
+
 def author_spellings(spark: SparkSession, d: str) -> DataFrame:
     """Every author of papers.authors and refs.authors as spelt."""
     listed = table(spark, d, "papers").select(F.explode("authors").alias("name")).select(F.trim("name").alias("name"))
@@ -136,6 +150,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found, "p1_titles": p1_titles,
+        "p2_found": p2_found, "p2_forms": p2_forms,
         "p3_found": p3_found, "p3_entities": p3_entities,
         "p4_found": p4_found, "p4_classes": p4_classes, "p4_papers": p4_papers,
         "p7_found": p7_found, "p7_records": p7_records, "p7_documents": p7_documents,
