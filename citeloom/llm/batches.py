@@ -2,44 +2,44 @@
 
 Every text gets a fingerprint of ``LANES`` 16-bit lanes, each the low bits of one min-hash over
 its word sequences, so that the number of differing bits falls with the similarity. The
-fingerprints are stored in ``LANES`` rotated block tables: table t is keyed by the lanes t, t+5
-and t+17. A new batch is looked up by exact block matches, verified by the Hamming distance of
-the fingerprints and then by the texts, and appended; history is never fingerprinted again.
+fingerprints are stored in ``LANES`` rotated block tables: table t is keyed by the lanes t, t+5,
+t+17 and t+40. A new batch is looked up by exact block matches, verified by the Hamming distance
+of the fingerprints and then by the texts, and appended; history is never fingerprinted again.
 
 Plain sign-of-sum fingerprints were rejected: at a similarity of one half more than a quarter
-of their bits differ, so no usable block would match. With min-hash lanes a block of three
-matches with probability s^3, and 64 tables find s = 0.5 with probability 0.9998."""
+of their bits differ, so no usable block would match. With min-hash lanes a block of four
+matches with probability s^4, and 96 tables find s = 0.5 with probability 0.998, s = 0.6 with
+0.999998."""
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeloom.operators.components import connected_components
 from citeloom.session import stage
 
-LANES, OFFSETS = 64, (0, 5, 17)
-#: Fingerprints at half similarity differ in some 256 of 1,024 bits, unrelated ones in 512.
-MAX_BITS = 430
+LANES, OFFSETS = 96, (0, 5, 17, 40)
+#: Fingerprints at similarity s differ in some 768 * (1 - s) of 1,536 bits, unrelated ones in 768;
+#: at one half the deviation is 42, so that this bound lets 0.9996 of such pairs through.
+MAX_BITS = 525
 SHINGLE, THRESHOLD = 3, 0.5
 
-_NON_WORD = re.compile(r"[\W_]+")
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _MULT = np.random.default_rng(20240229).integers(1, 2**63, LANES, dtype=np.uint64) * _U(2) + _U(1)
 
 
-def words_of(text: str) -> str:
+def words_of(text: Column) -> Column:
     """The words of a text in lower case, one blank between."""
-    return _NON_WORD.sub(" ", text).lower().strip()
+    return F.trim(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -97,7 +97,7 @@ def fingerprints(texts: list[str]) -> list[bytes | None]:
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [words_of(t) for t in b.column(2).to_pylist()]
+        texts = b.column(2).to_pylist()
         for lo in range(0, len(texts), 1024):
             part = texts[lo : lo + 1024]
             yield pa.RecordBatch.from_arrays(
@@ -113,7 +113,7 @@ FP = "doc_id long, batch_no int, copy_key binary, fp binary"
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_no: str = "batch_no") -> DataFrame:
     """(doc_id, batch_no, copy_key, fp) of every document with at least three words. ``copy_key``
     is equal for texts of the same words in the same order."""
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(batch_no).cast("int").alias("batch_no"), F.col(text).alias("text"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(batch_no).cast("int").alias("batch_no"), words_of(F.col(text)).alias("text"))
     return src.where("doc_id is not null and batch_no is not null and text is not null").mapInArrow(_fingerprint, FP).where("fp is not null")
 
 
@@ -121,10 +121,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        lanes = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, LANES).astype(np.int64)
+        lanes = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, LANES).astype(_U)
         t = np.arange(LANES)
-        x, y, z = (lanes[:, (t + o) % LANES] for o in OFFSETS)
-        key = (t.astype(np.int64) << 48 | x << 32 | y << 16 | z).ravel()
+        key = np.zeros(lanes.shape, _U)
+        for o in OFFSETS:
+            key = key << _U(16) | lanes[:, (t + o) % LANES]
+        key = _mix(key + t.astype(_U) * _BASE).astype(np.int64).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(b.column(0).to_numpy(), LANES))], names=["block", "doc_id"])
 
 
@@ -133,6 +135,53 @@ def block_tables(fps: DataFrame) -> DataFrame:
     return fps.select("doc_id", "fp").mapInArrow(_blocks, "block long, doc_id long")
 
 
+#: Pairs put out at once while a block is read.
+_PAIRS = 1 << 18
+
+
+def _pairs_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs a < b within each block; rows arrive sorted by (block, doc_id). Only blocks with
+    several documents are touched, and the pairs of a large one leave in slices."""
+    rest_k, rest_d = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def flush(k: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
+        sizes = np.diff(np.concatenate((starts, [len(k)])))
+        out_a, out_b, held = [], [], 0
+        for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+            for i in range(s, s + n - 1):
+                other = d[i + 1 : s + n]
+                other = other[other != d[i]]
+                out_a.append(np.full(len(other), d[i]))
+                out_b.append(other)
+                held += len(other)
+                if held >= _PAIRS:
+                    yield _pair_batch(out_a, out_b)
+                    out_a, out_b, held = [], [], 0
+        if held:
+            yield _pair_batch(out_a, out_b)
+
+    for b in batches:
+        k = np.concatenate((rest_k, b.column(0).to_numpy()))
+        d = np.concatenate((rest_d, b.column(1).to_numpy()))
+        if not len(k):
+            continue
+        cut = int(np.searchsorted(k, k[-1]))  # the last block may go on in the next batch
+        yield from flush(k[:cut], d[:cut])
+        rest_k, rest_d = k[cut:], d[cut:]
+    yield from flush(rest_k, rest_d)
+
+
+def _pair_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+
+def block_pairs(fps: DataFrame) -> DataFrame:
+    """(a, b), a < b: documents that share a block. One shuffle of the block tables."""
+    rows = block_tables(fps).repartition("block").sortWithinPartitions("block", "doc_id")
+    return rows.mapInArrow(_pairs_of_blocks, "a long, b long").distinct()
+
+
 @F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1) if len(a) else np.zeros((0, 1), np.uint8)
@@ -143,7 +192,7 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     def grams(t: str) -> set:
-        w = words_of(t).split()
+        w = t.split(" ")
         return {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
 
     out = []
@@ -161,7 +210,7 @@ def verified_pairs(candidates: DataFrame, fps: DataFrame, docs: DataFrame, doc_i
     near = candidates.join(fa, "a").join(fb, "b").where(_distance("fp_a", "fp_b") <= MAX_BITS).select("a", "b")
     near = stage(near, "near")
     wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi")
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), words_of(F.col(text)).alias("t")).join(wanted, "id", "left_semi")
     ta, tb = texts.select(F.col("id").alias("a"), F.col("t").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("t").alias("text_b"))
     return near.join(ta, "a").join(tb, "b").select("a", "b", _similarity("text_a", "text_b").alias("similarity")).where(F.col("similarity") >= threshold)
 
@@ -206,12 +255,7 @@ def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batc
     fps = stage(fingerprint_documents(docs, doc_id, text, batch_no).dropDuplicates(["doc_id"]), "fps")
     members = stage(copy_classes(fps), "members")
     lone = stage(fps.join(members.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "lone")
-    blocks = block_tables(lone)
-    pairs = (
-        blocks.withColumnRenamed("doc_id", "a").join(blocks.withColumnRenamed("doc_id", "b"), "block")
-        .where("a < b").select("a", "b").distinct()
-    )
-    return members, stage(verified_pairs(stage(pairs, "cand"), lone, docs, doc_id, text), "pairs")
+    return members, stage(verified_pairs(stage(block_pairs(lone), "cand"), lone, docs, doc_id, text), "pairs")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
