@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.batches import batch_pairs, batch_papers, near_classes
 from citeloom.llm.leakage import find_leaks
+from citeloom.llm.linkage import link_citations
 from citeloom.llm.lookalikes import consistent_texts
 from citeloom.llm.mixing import mix_documents, mix_report, token_lengths
 from citeloom.llm.names import entity_pairs, link_names
@@ -91,6 +92,16 @@ def p4_papers(spark: SparkSession, d: str) -> DataFrame:
     return batch_papers(table(spark, d, "documents"), table(spark, d, "papers"))
 
 
+def p5_links(spark: SparkSession, d: str) -> DataFrame:
+    """Citations without identifiers with the rows of the paper they cite and a confidence."""
+    refs = table(spark, d, "refs").where("doi is null and arxiv is null and paper_id is null")
+    return link_citations(refs, table(spark, d, "papers"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_links(spark, d).select("ref_id", "paper_no")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return best_rows(table(spark, d, "papers"), table(spark, d, "feeds"))
 
@@ -153,6 +164,7 @@ def llm_queries() -> dict[str, Query]:
         "p2_found": p2_found, "p2_forms": p2_forms,
         "p3_found": p3_found, "p3_entities": p3_entities,
         "p4_found": p4_found, "p4_classes": p4_classes, "p4_papers": p4_papers,
+        "p5_found": p5_found, "p5_links": p5_links,
         "p7_found": p7_found, "p7_records": p7_records, "p7_documents": p7_documents,
         "p8_found": p8_found, "p8_leaks": p8_leaks,
         "p9_found": p9_found, "p9_shares": p9_shares, "p9_mix": p9_mix,
