@@ -30,7 +30,7 @@ PREFIX = 32
 #: Suffixes of one tree built in a single task (some 600 characters each).
 MAX_TREE = 4096
 #: Characters hashed at once; longer texts are hashed alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -98,9 +98,16 @@ def anchors(texts: list[str], min_chars: int) -> list[tuple[np.ndarray, np.ndarr
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces, so that a worker holds few texts and contexts at once."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def _anchor_hashes(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             hs = [np.unique(h) for _, h in anchors(b.column(1).to_pylist(), min_chars)]
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).astype(np.int64))], names=["h"])
@@ -114,7 +121,7 @@ CONTEXT = "h long, doc_id long, pos long, before string, after string"
 def _contexts(min_chars: int, shared, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = shared.value
-        for b in batches:
+        for b in _slices(batches):
             rows: list[tuple] = []
             texts = b.column(1).to_pylist()
             for doc, text, (pos, h) in zip(b.column(0).to_pylist(), texts, anchors(texts, min_chars)):
