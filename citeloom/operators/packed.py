@@ -103,8 +103,8 @@ _YEAR = rf"(?<![\p{{Nd}}\p{{L}}.–/-])(?:[1１]{_CF}[9９]|[2２]{_CF}[0０]){_
 _ID = r"(?i:https?:\s*//\S+|\b10\.\d{4,9}/\S+|\barxiv\s*:\s*\S+|\b\d{4}\.\d{4,5}(?:v\d+)?)"
 _NAME_AFTER = (
     r"(?=\s*(?:and\s)?\s*(?:"
-    r"(?:\p{Lu}\p{M}*\.[\s-]?){1,3}(?:\p{Ll}[\p{L}'’-]*\s)*\p{L}[\p{L}\p{M}\p{Cf}'’-]+\s*(?:,|\.|\(|&|\band\b|\bet\b|;)"
-    r"|\p{Lu}[\p{L}\p{M}\p{Cf}'’-]+(?:\s\p{Lu}\.?)*\s(?:\p{Ll}[\p{L}'’-]*\s)*\p{L}[\p{L}\p{M}\p{Cf}'’-]+\s*(?:,|\.\s|\(|&|\band\b|\bet\b|;)"
+    r"(?:\p{Lu}\p{M}*\.[\s-]?){1,3}(?:\p{Ll}[\p{L}'’-]*\s)*\p{Cf}*\p{Lu}[\p{L}\p{M}\p{Cf}'’-]+\s*(?:,|\.|\(|&|\band\b|\bet\b|;)"
+    r"|\p{Lu}[\p{L}\p{M}\p{Cf}'’-]+(?:\s\p{Lu}\.?)*\s(?:\p{Ll}[\p{L}'’-]*\s)*\p{Cf}*\p{Lu}[\p{L}\p{M}\p{Cf}'’-]+\s*(?:,|\.\s|\(|&|\band\b|\bet\b|;)"
     r"|(?:\p{Ll}[\p{L}'’-]*\s)*\p{Lu}[\p{L}\p{M}\p{Cf}'’-]+\s?,\s\p{Lu}"
     r"|[^.,“”\"\n]{0,80}\b(?i:" + "|".join(ORG_WORDS) + r")\b"
     r"))"
@@ -129,8 +129,7 @@ def resolve_citation_skeleton(s: str) -> str:
     """The split mask of one citation skeleton (see ``_RAW_KINDS``; ``t`` is any other text).
 
     Numbered markers, quote pairs and typographic bars always split. A line break or semicolon
-    splits only between two years: at the first one that a name follows, else at the last one
-    that follows a number."""
+    splits only between two years: at the last one that a name follows, else at the last one."""
     cuts: set[int] = {k for k, ch in enumerate(s) if ch in "MQP"}
     years = [k for k, ch in enumerate(s) if ch == "Y"]
     for y, z in zip(years, years[1:]):
@@ -138,7 +137,7 @@ def resolve_citation_skeleton(s: str) -> str:
             continue
         weak = [k for k in range(y + 1, z) if s[k] in "hx"]
         if named := [k for k in weak if s[k] == "h"]:
-            cuts.add(named[0])
+            cuts.add(named[-1])
         elif weak:
             cuts.add(weak[-1])
     out, fresh = [], True

@@ -474,7 +474,7 @@ SELECT CAST(greatest(coalesce(v, 0), 5) AS INTEGER) AS splitter_version, count(*
         "pending_documents": "SELECT doc_sha, filename FROM manifest WHERE paper_id IS NULL",
         "strong_matches": f"WITH {_NORM} SELECT ref_id, id AS paper_id, CASE WHEN rank = 0 THEN 'doi' ELSE 'arxiv' END AS via FROM hits",
         "strong_current": f"WITH {_NORM} SELECT ref_id FROM valid",
-        "resolve_constructed": "SELECT 'doi:10.5555/p' || l_partkey AS paper_id, 'doi' AS resolved_via, count(DISTINCT l_orderkey || '/' || l_linenumber || '/' || l_suppkey) AS n FROM lineitem GROUP BY l_partkey",
+        "resolve_constructed": "SELECT 'doi:10.5555/p' || l_partkey AS paper_id, 'doi' AS resolved_via, count(*) AS n FROM lineitem GROUP BY l_partkey",
         "anchor_constructed": """WITH r AS (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem), t AS (SELECT p_brand, p_type, p_size, count(*) AS n FROM part GROUP BY ALL)
 SELECT n AS n_candidates, count(*) AS n_refs FROM r JOIN part ON l_partkey = p_partkey JOIN t USING (p_brand, p_type, p_size) WHERE l_linenumber % 2 = 0 OR l_linenumber % 3 <> 0 GROUP BY n""",
         "edges_strong": f"WITH {_NORM} SELECT from_id, to_id FROM strong_edges",
