@@ -31,6 +31,8 @@ LANES, OFFSETS = 96, (0, 5, 17, 40)
 #: at one half the deviation is 42, so that this bound lets 0.9996 of such pairs through.
 MAX_BITS = 525
 SHINGLE, THRESHOLD = 3, 0.5
+#: Texts hashed at once: few, so that the arrays stay in the cache.
+CHUNK_ROWS = 128
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -97,11 +99,10 @@ def fingerprints(texts: list[str]) -> list[bytes | None]:
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = b.column(2).to_pylist()
-        for lo in range(0, len(texts), 1024):
-            part = texts[lo : lo + 1024]
+        for lo in range(0, b.num_rows, CHUNK_ROWS):
+            part = b.column(2).slice(lo, CHUNK_ROWS).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(lo, 1024), b.column(1).slice(lo, 1024),
+                [b.column(0).slice(lo, CHUNK_ROWS), b.column(1).slice(lo, CHUNK_ROWS),
                  pa.array([hashlib.blake2b(t.encode(), digest_size=16).digest() for t in part], pa.binary()), pa.array(fingerprints(part), pa.binary())],
                 names=["doc_id", "batch_no", "copy_key", "fp"],
             )
