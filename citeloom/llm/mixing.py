@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from citeloom.session import stage
+from citeloom.session import small_side, stage
 
 #: Default vocabulary file; a parameter of every function that needs it.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -55,9 +55,11 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int) -> dict[int,
     total = sum(n * c for n, c in have.items())
     if budget >= total:
         return have
-    take = {n: c * budget // total for n, c in have.items()}
-    left = budget - sum(n * k for n, k in take.items())
     longest = max(have, default=0)
+    # what the dynamic programme can fill exactly is kept back
+    spread = max(0, budget - DP_DOCUMENTS * longest)
+    take = {n: c * spread // total for n, c in have.items()}
+    left = budget - sum(n * k for n, k in take.items())
     # bring the rest within reach of the dynamic programme, longest documents first
     for n in sorted(have, reverse=True):
         if left <= DP_DOCUMENTS * longest:
@@ -164,8 +166,9 @@ def mix_documents(lengths: DataFrame, targets: DataFrame, seed: int = 42) -> Dat
     full = keyed.join(whole, on).select("doc_id")
     extra = edge.union(full).groupBy("doc_id").agg(F.count(F.lit(1)).alias("extra_copies"))
     base = plan.select("source", "n_tokens", "whole")
+    base = small_side(base)
     return (
         lengths.join(base, ["source", "n_tokens"]).join(extra, "doc_id", "left")
-        .select("doc_id", "source", "n_tokens", (F.col("whole") + F.coalesce(F.least("extra_copies", F.lit(1)), F.lit(0))).cast("long").alias("copies"))
+        .select("doc_id", "source", "n_tokens", (F.col("whole") + F.when(F.col("extra_copies").isNotNull(), 1).otherwise(0)).cast("long").alias("copies"))
         .where("copies > 0")
     )
