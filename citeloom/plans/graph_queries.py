@@ -413,9 +413,9 @@ strong_edges AS (
 """
 
 _HEADS = (
-    r"(?i)^[A-Za-z][\p{L}\p{N}_@&''’-]*\.\s*(?:19|20)[0-9]{2}[a-z]?(?:$|[^\p{L}\p{N}_])", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*\.\s+[A-Z]", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*\s+[A-Za-z][\p{L}\p{N}_@&''’-]*\.\s+[A-Z]",
-    r"^[A-Z][\p{L}\p{N}_''’-]+,\s*[A-Z][.;,]", r"^[A-Z][a-z''’]+(?:-[A-Z][a-z''’]+)*\s+[A-Z]", r"^(?:[A-Z]\.\s*)+[A-Z][\p{L}\p{N}_''’-]+",
-    r"^[A-Z]\s+[A-Z][\p{L}\p{N}_''’-]+", r"^[A-Za-z][\p{L}\p{N}_''’-]+\.\s*(?:\((?:19|20)[0-9]{2}[a-z]?\)|(?:19|20)[0-9]{2})",
+    r"(?i)^[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]*(?:19|20)[0-9]{2}[a-z]?(?:$|[^\p{L}\p{N}_])", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]+[A-Z]", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*[\s\p{Z}]+[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]+[A-Z]",
+    r"^[A-Z][\p{L}\p{N}_''’-]+,[\s\p{Z}]*[A-Z][.;,]", r"^[A-Z][a-z''’]+(?:-[A-Z][a-z''’]+)*[\s\p{Z}]+[A-Z]", r"^(?:[A-Z]\.[\s\p{Z}]*)+[A-Z][\p{L}\p{N}_''’-]+",
+    r"^[A-Z][\s\p{Z}]+[A-Z][\p{L}\p{N}_''’-]+", r"^[A-Za-z][\p{L}\p{N}_''’-]+\.[\s\p{Z}]*(?:\((?:19|20)[0-9]{2}[a-z]?\)|(?:19|20)[0-9]{2})",
 )
 
 
