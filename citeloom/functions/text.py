@@ -81,6 +81,12 @@ def author_struct(folded: Column) -> Column:
     )
 
 
+def names_person(folded: Column) -> Column:
+    """Would ``author_struct`` find an author? All its ways to one need two words."""
+    s = F.regexp_replace(folded, r"(?U)^\s+|\s+$", "")
+    return ~s.isin(*NO_AUTHOR) & (F.size(name_words(s)) >= 2)
+
+
 def normalize_author(c: Column) -> Column:
     return author_struct(fold(c))
 
