@@ -4,11 +4,13 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("citeloom.llm")
 
-from citeloom.llm import spans  # noqa: E402
+from citeloom.llm import batches, spans  # noqa: E402
 from citeloom.llm.batches import HistoryIndex, batch_pairs, fingerprint_documents, near_classes, shingle_hashes  # noqa: E402
 
 
@@ -63,6 +65,22 @@ def test_history_index(spark, tmp_path):
     assert found == _similar(rows)
 
 
+def test_blocks_find_pairs_at_one_half():
+    """Simulated lanes of pairs at similarity 0.5, through the block tables and the Hamming distance."""
+    rng, n = np.random.default_rng(3), 40_000
+    lost = 0
+    for _ in range(n // 2_000):
+        a = rng.integers(0, 2**16, (2_000, batches.LANES), dtype=np.uint16)
+        b = np.where(rng.random(a.shape) < 0.5, a, rng.integers(0, 2**16, a.shape, dtype=np.uint16))
+        keys = []
+        for x in (a, b):
+            rb = pa.RecordBatch.from_arrays([pa.array(range(2_000), pa.int64()), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "fp"])
+            keys.append(next(batches._blocks(iter([rb]))).column(0).to_numpy().reshape(2_000, -1))
+        near = np.bitwise_count(a ^ b).sum(axis=1) <= batches.MAX_BITS
+        lost += int((~((keys[0] == keys[1]).any(axis=1) & near)).sum())
+    assert lost / n < 0.0005
+
+
 def test_shingles_are_the_word_sequences():
     h, n = shingle_hashes(["a b c d", "", "b c d", "a"], 3)
     assert n.tolist() == [2, 0, 1, 0] and h[1] == h[2] != h[0]
