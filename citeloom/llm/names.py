@@ -1,9 +1,10 @@
 """Problem 3: variant spellings of names typed by people.
 
-Every distinct spelling is parsed into words and initials. Spellings are blocked by phonetic and
-prefix/suffix codes of their rare words (joined with the initial of the other word, so that
-order does not matter), compared word by word with Jaro-Winkler, one-edit typing errors and a
-nickname table, and clustered by connected components."""
+Every distinct spelling is parsed into words and initials. Spellings are blocked by their words,
+whole and with one letter left out (joined with the initial of another word, so that order does
+not matter), compared word by word with Jaro-Winkler, one-edit typing errors and a nickname
+table, and clustered by connected components. Any two spellings that ``same_name`` accepts share
+a block, however frequent their words are: words one edit apart have a form in common."""
 
 from __future__ import annotations
 
@@ -50,9 +51,6 @@ records: rec recs | research: res rsch | school: sch | science: sci | society: s
 translation: transl trans | university: univ uni | data: dat
 """
 SMALL_WORDS = {"the", "of", "for", "and", "de", "van", "von", "der", "den", "di", "du", "da", "la", "le", "ten", "ter", "et", "jr", "sr", "ii", "iii", "iv"}
-#: A word in at most this many spellings blocks by itself; more frequent ones only together with
-#: the initial of another word, so nothing is lost.
-RARE_WORD = 64
 MIN_SIMILARITY = 0.85
 
 
@@ -101,18 +99,6 @@ def parse_name(name: str) -> tuple[bool, list[str], list[str]]:
     return False, words, initials
 
 
-def phonetic(word: str) -> str:
-    """A Soundex-like code of the whole word: the first letter, then the consonant classes."""
-    classes = {c: d for d, group in zip("123456", ("bfpv", "cgjkqsxz", "dt", "l", "mn", "r")) for c in group}
-    out, last = word[:1], classes.get(word[:1], "")
-    for c in word[1:]:
-        k = classes.get(c, "")
-        if k and k != last:
-            out += k
-        last = k
-    return out
-
-
 def jaro_winkler(a: str, b: str) -> float:
     if a == b:
         return 1.0
@@ -218,28 +204,42 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"name": b["name"], "org": [p[0] for p in parsed], "words": [p[1] for p in parsed], "initials": [p[2] for p in parsed]})
 
 
-def block_keys(org: bool, words: list[str], initials: list[str], rare: set[str]) -> set[str]:
-    """The blocks of one spelling. ``rare``: its words that few other spellings have."""
-    base = [w for w in words if w in rare] or sorted(words, key=len)[-1:]
+def _forms(word: str) -> set[str]:
+    """The word, and the word with one letter left out. Words one edit apart share a form."""
+    return {word} | ({word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) > 3 else set())
+
+
+def _marks(word: str) -> set[str]:
+    """Letters of which words that may agree share one, even with an error at the beginning."""
+    return _first(word) | (set(word[1]) if len(word) > 3 else set())
+
+
+def block_keys(org: bool, words: list[str], initials: list[str]) -> set[str]:
+    """The blocks of one spelling.
+
+    One word of an organisation may differ: its other words and a form of this one are the block.
+    Of a person, words that are no given names (all words if there are no others) are blocked
+    with one letter left out, for an error in them, and whole, for an error or nickname beside
+    them; known given names, shared by very many people, then need no block of their own."""
     keys = set()
-    for w in base:
-        if w in rare:
-            keys.add("s" + w)
-        rest = [v for v in words if v is not w]
+    for k, w in enumerate(words):
+        rest = words[:k] + words[k + 1 :]
         if org:
-            marks = {"#" + "".join(sorted(v[:1] for v in rest))}
-        else:
-            marks = {f for v in rest for f in _first(v)} | (set(initials[:1]) if not rest else set())
-        for m in marks:
-            keys |= {f"p{phonetic(w)}{m}", f"h{w[:4]}{m}", f"t{w[-4:]}{m}"}
+            keys |= {f"o{' '.join(sorted(rest))}#{v}" for v in _forms(w)}
+            continue
+        if w in _ALL_GIVEN and not _ALL_GIVEN.issuperset(words):
+            continue
+        first = {m for v in rest for m in _first(v)} if rest else set(initials[:1]) or {"."}
+        keys |= {f"d{v}#{m}" for v in _forms(w) | _NICK.get(w, set()) for m in first}
+        keys |= {f"d{w}#{m}" for v in rest for m in _marks(v)}
     return keys
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = [
-            (k, n) for n, org, w, i, r in zip(b["name"], b["org"], b["words"], b["initials"], b["rare"])
-            for k in block_keys(org, list(w), list(i), set(r))
+            (k, n) for n, org, w, i in zip(b["name"], b["org"], b["words"], b["initials"])
+            for k in block_keys(org, list(w), list(i))
         ]
         yield pd.DataFrame(rows, columns=["key", "name"])
 
@@ -272,11 +272,7 @@ def link_names(names: DataFrame, name: str = "name") -> DataFrame:
     empty input an empty result; other columns are ignored."""
     distinct = names.select(F.col(name).alias("name")).where("name is not null and trim(name) <> ''").distinct()
     parsed = stage(distinct.mapInPandas(_parse, "name string, org boolean, words array<string>, initials array<string>"), "parsed")
-    words = parsed.select("name", F.explode(F.array_distinct("words")).alias("word"))
-    rare_words = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= RARE_WORD).select("word")
-    rare = words.join(rare_words, "word").groupBy("name").agg(F.collect_list("word").alias("rare"))
-    keyed = parsed.join(rare, "name", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
-    keys = stage(keyed.mapInPandas(_keys, "key string, name string"), "keys")
+    keys = stage(parsed.mapInPandas(_keys, "key string, name string"), "keys")
     a, b = keys.select("key", F.col("name").alias("name_a")), keys.select("key", F.col("name").alias("name_b"))
     pairs = a.join(b, "key").where("name_a < name_b").select("name_a", "name_b").distinct()
     links = stage(pairs.mapInPandas(_accept, "name_a string, name_b string, full_a boolean, full_b boolean"), "links")

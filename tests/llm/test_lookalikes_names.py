@@ -7,7 +7,7 @@ import pytest
 pytest.importorskip("citeloom.llm")
 
 from citeloom.llm.lookalikes import consistent_texts  # noqa: E402
-from citeloom.llm.names import entity_pairs, jaro_winkler, link_names, one_edit, parse_name, same_name  # noqa: E402
+from citeloom.llm.names import block_keys, entity_pairs, jaro_winkler, link_names, one_edit, parse_name, same_name  # noqa: E402
 
 CHANGED = {
     "the ca\u200bnopy of cells": "the canopy of cells", "soft\u00adware": "software", "a\u00a0b": "a b", "\uff57\uff49\uff44\uff45 letters": "wide letters", "e\ufb03cient": "efficient",
@@ -68,3 +68,34 @@ def test_linking(spark):
     pairs = {tuple(r) for r in entity_pairs(spark.createDataFrame(list(got.items()), "name string, entity string")).collect()}
     assert ("Rupert Falkenau", "Rupert Falkenua") in pairs and all(a < b for a, b in pairs) and len(pairs) == 7
     assert link_names(df.limit(0)).count() == 0
+
+
+def _typo(rng, s):
+    i = rng.randrange(len(s) - 1)
+    c = rng.choice("aeimnrst")
+    return rng.choice([s[:i] + s[i + 1 :], s[:i] + c + s[i:], s[:i] + c + s[i + 1 :], s[:i] + s[i + 1] + s[i] + s[i + 2 :]])
+
+
+def test_blocks_lose_no_accepted_pair():
+    rng = random.Random(9)
+    givens = ["Robert", "Bob", "Bert", "Rupert", "Frank", "Francis", "Samuel", "Sam", "Cecil", "John", "Xaver", "Leopold"]
+    last = ["Sabogriha", "Falkenau", "Ottermole", "Frank", "Lee", "Horn", "Willi", "Willy"]
+    names = set()
+    for _ in range(1500):
+        g, m, s = rng.choice(givens), rng.choice(givens), rng.choice(last)
+        n = rng.choice([f"{g} {s}", f"{s}, {g}", f"{g[0]}. {s}", f"{s} {g[0]}{m[0]}", f"{g} {m[0]}. {s}", f"{g} {m} {s}", s, f"{s} Institute of Optics", f"Inst. of Optics {s}", f"{s} Society"])
+        names.add(_typo(rng, n) if rng.random() < 0.5 else n)
+    parsed = [parse_name(n) for n in sorted(names)]
+    keys = [block_keys(*p) for p in parsed]
+    accepted = [(i, j) for i in range(len(parsed)) for j in range(i) if same_name(parsed[i], parsed[j])]
+    assert len(accepted) > 1000
+    assert [(parsed[i], parsed[j]) for i, j in accepted if not keys[i] & keys[j]] == []
+
+
+def test_frequent_words_still_link(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    crowd = [f"{g}{a}{b}ix Grozidovum" for g in ("Zor", "Vel") for a in letters[:9] for b in "uoe"] + [f"{a.upper()}{b}vutrelka Maximilian" for a in letters for b in "aei"]
+    crowd += [f"{a.upper()}. Grozidovum" for a in letters if a not in "mcl"]
+    pairs = [("Grozidovum, Maximilian", "Maximilian Grozidovum"), ("Cemil Grozidovum", "Cecil Grozidovum"), ("Leoplod Grozidovum", "L.A. Grozidovum")]
+    got = {r["name"]: r["entity"] for r in link_names(spark.createDataFrame([(n,) for n in crowd + [x for p in pairs for x in p]], "name string")).collect()}
+    assert [got[a] == got[b] for a, b in pairs] == [True] * 3
