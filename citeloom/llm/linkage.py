@@ -3,7 +3,8 @@
 Citations and papers that share rare attributes (surname and year, neighbouring title words,
 neighbouring authors) span a candidate graph whose edges weigh
 what the shared attributes are worth. Meta-blocking drops the edges that are weak for their
-citation, the rest are compared in full, and the similarity of an edge is then propagated to
+citation, the rest are compared in full. Citations that then fit no paper are tried again with all
+their attributes and without dropping any edge. The similarity of an edge is then propagated to
 the edges of the same citation with other rows of the same paper until nothing changes."""
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ SERIES_WORDS = frozenset("part volume vol sequel ii iii iv two three four second
 #: A key with more pairs than this is refined by the words of the title.
 MAX_KEY_PAIRS = 50_000
 #: An edge weaker than this part of the citation's strongest is dropped.
-EDGE_SHARE = 0.3
+EDGE_SHARE = 0.15
 MIN_CONFIDENCE = 0.6
 
 
@@ -69,22 +70,24 @@ def year_of(year: str | None) -> int | None:
     return int(m.group()) if m else None
 
 
-def attribute_keys(title: str | None, authors: list[str], year: str | None, paper: bool) -> set[str]:
+def attribute_keys(title: str | None, authors: list[str], year: str | None, paper: bool, every: bool = False) -> set[str]:
     """The blocking keys of a citation or paper.
 
     A citation uses surname and year (papers enter with the years around theirs too), bare
     surnames if it has no year, three neighbouring words of the title, two if it has no authors,
-    and two neighbouring authors if it has no title. Papers carry all of these."""
+    and two neighbouring authors if it has no title. With ``every`` it uses all of these, as papers
+    always do."""
     words = [w for w in title_tokens(title) if w not in STOP_WORDS]
     people, y = surnames(authors), year_of(year)
     spread = 1 if paper else 0
     keys = {f"y{p}|{v}" for p in people for v in (range(y - spread, y + spread + 1) if y else ())}
-    if paper or not y:
+    every = every or paper
+    if every or not y:
         keys |= {f"s{p}" for p in people}
     keys |= {f"t{a}|{b}|{c}" for a, b, c in zip(words, words[1:], words[2:])}
-    if paper or not people or len(words) < 3:
+    if every or not people or len(words) < 3:
         keys |= {f"b{a}|{b}" for a, b in zip(words, words[1:])}
-    if paper or not words:
+    if every or not words:
         keys |= {f"p{a}|{b}" for a, b in zip(people, people[1:])}
     return keys
 
@@ -141,11 +144,11 @@ def author_agreement(r: list[str], q: list[str]) -> float | None:
 def confidence(title: str | None, authors: list[str], year: str | None, p_title: str | None, p_authors: list[str], p_year: str | None) -> float:
     """How sure it is that a citation with the first three fields cites the paper with the others."""
     r, q = title_tokens(title), title_tokens(p_title)
-    a = author_agreement(authors, p_authors)
     y, z = year_of(year), year_of(p_year)
     gap = abs(y - z) if y and z else None
     near = 0.0 if gap is None else 0.1 if gap == 0 else 0.03 if gap == 1 else -0.12
     if not r or not q:
+        a = author_agreement(authors, p_authors)
         # authors and year alone: all of several people and the very year
         return 0.62 if a == 1.0 and len(authors) >= 2 and len(authors) == len(p_authors) and gap == 0 else 0.0
     cr, cq = title_agreement(r, q)
@@ -153,6 +156,7 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
     series_r, series_q = ({w for w in s if w in SERIES_WORDS} for s in (r, q))
     if cr < 0.7 or (cr < 0.8 and cq < 0.8) or sum(w not in STOP_WORDS for w in r) < 2 and cq < 0.6:
         return 0.0
+    a = author_agreement(authors, p_authors)
     score = 0.35 * cr + 0.25 * cq + near
     if cut or cq < 0.75:
         score += 0.12 * (1 - cq)  # words cut off say little
@@ -162,10 +166,10 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
     return max(0.0, min(1.0, score))
 
 
-def _keys(paper: bool):
+def _keys(paper: bool, every: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, i) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"]) for k in attribute_keys(t, list(a), y, paper)]
+            rows = [(k, i) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"]) for k in attribute_keys(t, list(a), y, paper, every)]
             yield pd.DataFrame(rows, columns=["key", "id"])
 
     return run
@@ -180,16 +184,18 @@ def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cid": b["cid"], "paper_no": b["paper_no"], "confidence": c})
 
 
-def candidate_graph(citations: DataFrame, papers: DataFrame) -> DataFrame:
-    """(cid, paper_no, weight): pairs that share a key, weighted by the rarity of the keys they
-    share, without the edges that are weak for their citation. Keys with too many pairs are
-    refined by the words of the title, which every match with a title shares anyway."""
+def attribute_rows(x: DataFrame, own: str, paper: bool, every: bool = False) -> DataFrame:
+    """(key, ``own``): the hashed blocking keys of citations or papers."""
+    rows = x.select(F.col(own).alias("id"), "title", "people", "year").mapInPandas(_keys(paper, every), "key string, id long")
+    return stage(rows.select(F.xxhash64("key").alias("key"), F.col("id").alias(own)), "keys")
 
-    def keyed(x: DataFrame, own: str, paper: bool) -> DataFrame:
-        rows = x.select(F.col(own).alias("id"), "title", "people", "year").mapInPandas(_keys(paper), "key string, id long")
-        return stage(rows.select(F.xxhash64("key").alias("key"), F.col("id").alias(own)), "keys")
 
-    c, p = keyed(citations, "cid", False), keyed(papers, "paper_no", True)
+def candidate_graph(citations: DataFrame, papers: DataFrame, p: DataFrame, every: bool = False) -> DataFrame:
+    """(cid, paper_no, weight): pairs that share a key, weighted by the rarity of the keys they
+    share, without the edges that are weak for their citation. With ``every``, citations use all
+    keys and keep all edges. ``p`` holds the keys of the papers. Keys with too many pairs are
+    refined by the words of the title, which every match with a title shares anyway."""
+    c = attribute_rows(citations, "cid", False, every)
     nc = c.groupBy("key").agg(F.count(F.lit(1)).alias("nc"))
     np_ = p.groupBy("key").agg(F.count(F.lit(1)).alias("np"))
     sizes = stage(nc.join(np_, "key").select("key", "np", (F.col("nc") * F.col("np")).alias("pairs")), "sizes")
@@ -207,6 +213,8 @@ def candidate_graph(citations: DataFrame, papers: DataFrame) -> DataFrame:
         pairs = pairs.unionByName(more)
     # one shuffle by citation serves both the sum and the pruning
     edges = pairs.repartition("cid").groupBy("cid", "paper_no").agg(F.sum("worth").alias("weight"))
+    if every:
+        return edges
     best = F.max("weight").over(Window.partitionBy("cid"))
     return edges.withColumn("best", best).where(F.col("weight") >= EDGE_SHARE * F.col("best")).select("cid", "paper_no", "weight")
 
@@ -246,11 +254,20 @@ def link_citations(refs: DataFrame, papers: DataFrame) -> DataFrame:
     cited = stage(cited.withColumn("k", F.sha2(F.to_json(F.struct("title", "people", "year")), 256)), "cited")
     citations = stage(cited.groupBy("k").agg(F.min("ref_id").alias("cid"), F.first("title").alias("title"), F.first("people").alias("people"), F.first("year").alias("year")), "citations")
     rows = stage(papers.where("paper_no is not null").select("paper_no", "title", F.coalesce("authors", F.array().cast("array<string>")).alias("people"), "year"), "rows")
-    edges = stage(candidate_graph(citations, rows), "graph")
-    full = edges.join(citations.drop("k"), "cid").join(rows.select("paper_no", F.col("title").alias("p_title"), F.col("people").alias("p_people"), F.col("year").alias("p_year")), "paper_no")
-    scored = full.select("cid", "paper_no", "title", "people", "year", "p_title", "p_people", "p_year").mapInPandas(_score, "cid long, paper_no long, confidence double")
+    keys = attribute_rows(rows, "paper_no", True)
+    offers = rows.select("paper_no", F.col("title").alias("p_title"), F.col("people").alias("p_people"), F.col("year").alias("p_year"))
+
+    def fitting(some: DataFrame, every: bool) -> DataFrame:
+        edges = stage(candidate_graph(some, rows, keys, every), "graph")
+        full = edges.join(some, "cid").join(offers, "paper_no").select("cid", "paper_no", "title", "people", "year", "p_title", "p_people", "p_year")
+        return stage(full.mapInPandas(_score, "cid long, paper_no long, confidence double").where(F.col("confidence") >= MIN_CONFIDENCE), "fitting")
+
+    plain = citations.drop("k")
+    fit = fitting(plain, False)
+    # dropped edges and keys must not cost a citation its paper
+    fit = fit.unionByName(fitting(stage(plain.join(fit.select("cid").distinct(), "cid", "left_anti"), "left"), True))
     works = stage(group_papers(papers), "works")
-    strong = propagate(scored.where(F.col("confidence") >= MIN_CONFIDENCE), works)
+    strong = propagate(fit, works)
     per_work = strong.groupBy("cid", "first_no").agg(F.max("confidence").alias("top"))
     w = Window.partitionBy("cid").orderBy(F.desc("top"), "first_no")
     ranked = per_work.withColumn("r", F.row_number().over(w)).withColumn("next", F.lead("top").over(w))

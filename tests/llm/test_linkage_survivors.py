@@ -67,6 +67,14 @@ def test_linking(spark):
     assert link_citations(r.limit(0), papers).count() == 0 and link_citations(r, papers.limit(0)).count() == 0
 
 
+def test_citations_without_strong_edges_link(spark):
+    title, authors = "Sampling brittle canopies under drifting tensors with quantile probes and lattice graphs", ["Annabel Leemann", "Bob Falkenau"]
+    papers = _papers(spark, [dict(no=1, title=title, authors=authors, year=None), dict(no=2, title="Measuring stiff meadows", authors=["Dora Quistgaard"], year="2001")])
+    damaged = "Sampling britle canopies drifting tensosr quantile probes latice graphs"
+    r = spark.createDataFrame([(1, damaged, "A. Leemann; B. Falkenau", "2001")], "ref_id long, title string, authors string, year string")
+    assert {(x["ref_id"], x["paper_no"]) for x in link_citations(r, papers).collect()} == {(1, 1)}
+
+
 def test_scores():
     assert title_tokens("Los-\nt Cаnopies, 2nd") == ("lost", "canopies", "2nd")
     full = confidence("A canopy of cells", ["A. Leemann"], "2001", "A Canopy of Cells", ["Annabel Leemann"], "2001")
