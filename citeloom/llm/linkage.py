@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeloom.llm.lookalikes import _IGNORABLE, _TO_LATIN, script
-from citeloom.llm.names import fold, one_edit, parse_name, same_name
+from citeloom.llm.names import _forms, fold, one_edit, parse_name, same_name
 from citeloom.llm.survivors import group_papers
 from citeloom.operators.packed import split_packed
 from citeloom.session import small_side, stage
@@ -28,7 +28,7 @@ from citeloom.session import small_side, stage
 STOP_WORDS = frozenset("a an and are as at between by for from how in into is its of on or that the their to towards under via view with without study lessons".split())
 #: Words that set one part of a series apart from another (fixed values).
 SERIES_WORDS = frozenset("part volume vol sequel ii iii iv two three four second third 2 3 4".split())
-#: A key with more pairs than this is refined by the words of the title.
+#: A key with more pairs than this is refined by a second attribute (see ``refinements``).
 MAX_KEY_PAIRS = 50_000
 #: An edge weaker than this part of the citation's strongest is dropped.
 EDGE_SHARE = 0.15
@@ -92,6 +92,31 @@ def attribute_keys(title: str | None, authors: list[str], year: str | None, pape
     return keys
 
 
+def refinements(title: str | None, authors: list[str], year: str | None, paper: bool) -> set[str]:
+    """The second attributes that divide a very frequent key. A citation and a paper that
+    ``confidence`` can link share one: a form of a title word (whole, one letter off, short for
+    it, or torn in two), or, if one of them has no title, the year with the number of authors."""
+    words, y = title_tokens(title), year_of(year)
+    some = words if paper or 10 * sum(w not in STOP_WORDS for w in words) <= 3 * len(words) else [w for w in words if w not in STOP_WORDS]
+    out = {f"f{v}" for w in some for v in _forms(w)}
+    if paper:
+        out |= {f"a{w[:k]}" for w in words for k in range(3, len(w) - 1)}
+    else:
+        out |= {f"a{w}" for w in some if len(w) > 2} | {f"f{v}{w}" for v, w in zip(words, words[1:])}
+    if y and len(authors) > 1:
+        out |= {f"{side}{y}|{len(authors)}" for side in "cp" if not words or side == ("c" if paper else "p")}
+    return out
+
+
+def _refine(paper: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, list(refinements(t, list(a), y, paper))) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"])]
+            yield pd.DataFrame(rows, columns=["id", "more"])
+
+    return run
+
+
 def _word_match(r: str, q: str) -> bool:
     return r == q or (len(r) > 3 and len(q) > 3 and one_edit(r, q)) or (len(r) >= 3 and len(q) > len(r) + 1 and q.startswith(r))
 
@@ -194,7 +219,7 @@ def candidate_graph(citations: DataFrame, papers: DataFrame, p: DataFrame, every
     """(cid, paper_no, weight): pairs that share a key, weighted by the rarity of the keys they
     share, without the edges that are weak for their citation. With ``every``, citations use all
     keys and keep all edges. ``p`` holds the keys of the papers. Keys with too many pairs are
-    refined by the words of the title, which every match with a title shares anyway."""
+    refined by a second attribute, and are worth what the rarest refined key is."""
     c = attribute_rows(citations, "cid", False, every)
     nc = c.groupBy("key").agg(F.count(F.lit(1)).alias("nc"))
     np_ = p.groupBy("key").agg(F.count(F.lit(1)).alias("np"))
@@ -205,11 +230,16 @@ def candidate_graph(citations: DataFrame, papers: DataFrame, p: DataFrame, every
     if wide.limit(1).count():
         wide = small_side(wide)
 
-        def refined(x: DataFrame, rows: DataFrame, own: str) -> DataFrame:
-            words = rows.select(own, F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("title", F.lit(""))), F.lit(r"([\p{L}\p{N}]{4,})"), F.lit(1))).alias("words"))
-            return x.join(wide, "key").join(words, own).select(F.explode("words").alias("w"), "key", own).select(F.xxhash64("key", "w").alias("key"), own)
+        def refined(x: DataFrame, rows: DataFrame, own: str, paper: bool) -> DataFrame:
+            x = stage(x.join(wide, "key"), "wide")
+            some = rows.join(x.select(own).distinct(), own, "left_semi").select(F.col(own).alias("id"), "title", "people", "year")
+            more = some.mapInPandas(_refine(paper), "id long, more array<string>").withColumnRenamed("id", own)
+            return x.join(more, own).select("key", F.explode("more").alias("w"), own).select("key", F.xxhash64("key", "w").alias("fine"), own)
 
-        more = refined(c, citations, "cid").join(refined(p, papers, "paper_no"), "key").select("cid", "paper_no", F.lit(1e-4).alias("worth"))
+        rp = stage(refined(p, papers, "paper_no", True), "refined")
+        worth = rp.groupBy("fine").agg((F.lit(1.0) / F.count(F.lit(1))).alias("worth"))
+        more = refined(c, citations, "cid", False).drop("key").join(rp.join(worth, "fine"), "fine")
+        more = more.groupBy("key", "cid", "paper_no").agg(F.max("worth").alias("worth")).select("cid", "paper_no", "worth")
         pairs = pairs.unionByName(more)
     # one shuffle by citation serves both the sum and the pruning
     edges = pairs.repartition("cid").groupBy("cid", "paper_no").agg(F.sum("worth").alias("weight"))

@@ -6,6 +6,7 @@ import pytest
 
 pytest.importorskip("citeloom.llm")
 
+from citeloom.llm import linkage  # noqa: E402
 from citeloom.llm.linkage import confidence, link_citations, title_tokens  # noqa: E402
 from citeloom.llm.survivors import best_rows, group_papers, merged_documents, merged_records  # noqa: E402
 
@@ -75,6 +76,15 @@ def test_citations_without_strong_edges_link(spark):
     assert {(x["ref_id"], x["paper_no"]) for x in link_citations(r, papers).collect()} == {(1, 1)}
 
 
+def test_refined_keys_lose_no_link(spark, monkeypatch):
+    title, authors = "Sampling brittle canopies under drifting tensors", ["Annabel Leemann", "Bob Falkenau"]
+    papers = _papers(spark, [dict(no=1, title=title, authors=authors, year="2001"), dict(no=2, title="Measuring stiff meadows", authors=["Dora Quistgaard", "Cy Ottermole"], year="2003")])
+    refs = [(1, None, "Leemann, Annabel; Falkenau, Bob", "2001"), (2, "Samplng britttle canpoies undre driftin tensros", "A. Leemann; B. Falkenau", "2001"), (3, "Meas- uring stiff méadows", "Dora Quistgaard", "2003")]
+    r = spark.createDataFrame(refs, "ref_id long, title string, authors string, year string")
+    monkeypatch.setattr(linkage, "MAX_KEY_PAIRS", 0)  # every key is too wide
+    assert {(x["ref_id"], x["paper_no"]) for x in link_citations(r, papers).collect()} == {(1, 1), (2, 1), (3, 2)}
+
+
 def test_scores():
     assert title_tokens("Los-\nt Cаnopies, 2nd") == ("lost", "canopies", "2nd")
     full = confidence("A canopy of cells", ["A. Leemann"], "2001", "A Canopy of Cells", ["Annabel Leemann"], "2001")
