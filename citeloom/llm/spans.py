@@ -3,31 +3,39 @@
 A suffix tree over all suffixes of the corpus would hold one leaf per character. The trees here
 are sparse: only suffixes at *anchors* are inserted. In every window of ``min_chars`` characters
 the ``PREFIX``-character sequence with the least hash is an anchor, so two equal stretches of
-that length always hold an anchor at the same place. Suffixes are partitioned by the hash of
-their prefix; a merged Bloom filter of repeatedly seen prefixes keeps all others out of the
-shuffle. Each partition's tree is built from its sorted suffixes; an internal node at depth d
-says that its leaves agree on d characters to the right, and the best agreement to the left
-among the leaves of one node, found in the order of the reversed left contexts, completes the
-maximal repeat. Partitions too large for one task are split further, by the windows around the
-anchor, and counted with map-side combination. All paths are exact."""
+that length always hold an anchor at the same place. Anchors whose sequence occurs in one
+document only are dropped by counting hashes; the texts of the others are cut into suffixes with
+their left contexts, partitioned by their prefix.
+
+A partition of more than ``MAX_TREE`` different contexts gets longer prefixes until it fits. A
+stretch of ``min_chars`` may reach to both sides of its anchor, so prefixes grow to both sides: the
+suffixes that agree on ``r`` characters from the anchor on become partitions of their own, and so do
+those that agree on ``min_chars - r + 1`` characters before it. Two suffixes that share
+``min_chars`` around the anchor are in one of these. What all suffixes of a partition have in common
+(between the least and the greatest of them) is known before it is cut; if that is a stretch of
+``min_chars`` it counts for all of them, and only longer agreements are followed.
+
+Each partition's tree is built from its sorted suffixes; an internal node at depth d says that
+its leaves agree on d characters to the right, and the best agreement to the left among the
+leaves of one node, found in the order of the reversed left contexts, completes the maximal
+repeat."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from citeloom.llm.titles import _positions, repeat_filter
+from citeloom.operators.skew import hot_split_join
 from citeloom.session import small_side, stage
 
 PREFIX = 32
-#: Suffixes of one tree built in a single task (some 600 characters each).
+#: Suffixes of one tree built in a single task (some 600 characters each, so 5 MB).
 MAX_TREE = 4096
 #: Characters hashed at once; longer texts are hashed alone.
 CHUNK = 1 << 18
@@ -105,12 +113,19 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield b.slice(lo, rows)
 
 
-def _anchor_hashes(min_chars: int):
+MARKS = "doc_id long, copy_key binary, n long, pos array<int>, h array<long>"
+
+
+def _mark(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            hs = [np.unique(h) for _, h in anchors(b.column(1).to_pylist(), min_chars)]
-            if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).astype(np.int64))], names=["h"])
+            texts = b.column(1).to_pylist()
+            found = anchors(texts, min_chars)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array([p.astype(np.int32) for p, _ in found], pa.list_(pa.int32())), pa.array([h.astype(np.int64) for _, h in found], pa.list_(pa.int64()))],
+                names=["doc_id", "copy_key", "n", "pos", "h"],
+            )
 
     return run
 
@@ -118,25 +133,17 @@ def _anchor_hashes(min_chars: int):
 CONTEXT = "h long, doc_id long, pos long, before string, after string"
 
 
-def _contexts(min_chars: int, shared, bits: int):
+def _contexts(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = shared.value
         for b in _slices(batches):
-            rows: list[tuple] = []
-            texts = b.column(1).to_pylist()
-            for doc, text, (pos, h) in zip(b.column(0).to_pylist(), texts, anchors(texts, min_chars)):
-                if not len(pos):
-                    continue
-                p = _positions(h, bits)
-                ok = ((packed[p >> 3] >> (7 - (p & 7))) & 1).all(axis=1)
-                rows += [
-                    (int(k), doc, int(x), text[max(0, x - min_chars + PREFIX) : x], text[x : x + min_chars])
-                    for x, k in zip(pos[ok].tolist(), h[ok].astype(np.int64).tolist())
-                ]
-            if rows:
-                cols = list(zip(*rows))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["h", "doc_id", "pos", "before", "after"])
+            cols: tuple[list, ...] = ([], [], [], [], [])
+            for doc, text, places in zip(*(c.to_pylist() for c in b.columns)):
+                for a in places:
+                    x = a["pos"]
+                    for c, v in zip(cols, (a["h"], doc, x, text[max(0, x - min_chars + PREFIX) : x], text[x : x + min_chars])):
+                        c.append(v)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["h", "doc_id", "pos", "before", "after"])
 
     return run
 
@@ -201,6 +208,8 @@ SPAN = "doc_id long, first long, last long"
 
 
 def _trees(min_chars: int):
+    """(part, doc_id, pos, before, after) sorted by ``part`` to the spans its tree finds."""
+
     def spans(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
         by: dict[tuple[str, str], list[tuple[int, int]]] = {}
         for _, doc, pos, before, after in rows:
@@ -229,15 +238,13 @@ def _trees(min_chars: int):
             out: list[tuple[int, int, int]] = []
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 if group and row[0] != group[0][0]:
-                    if any(r[1] != group[0][1] for r in group):
-                        out += spans(group)
+                    out += spans(group)
                     group = []
                 group.append(row)
             if out:
                 yield _batch(out)
-        if any(r[1] != group[0][1] for r in group):
-            if out := list(spans(group)):
-                yield _batch(out)
+        if out := list(spans(group)):
+            yield _batch(out)
 
     return run
 
@@ -246,41 +253,91 @@ def _batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "first", "last"])
 
 
-def _windows(min_chars: int):
+def _leaf_trees(min_chars: int):
+    """(part, leaf, lo, hi, before, after) sorted by ``part`` to (leaf, left, right) of its tree."""
+
+    def found(rows: list[tuple]) -> list[tuple[str, int, int]]:
+        leaves = [(leaf, d, before, after) for _, leaf, lo, hi, before, after in rows for d in ((lo,) if lo == hi else (lo, hi))]
+        ids, docs, b, a = zip(*leaves)
+        return list({(ids[i], left, right) for i, left, right in tree_repeats(list(docs), list(b), list(a), min_chars)})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if group and (out := found(group)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int32(), pa.int32()))], names=["leaf", "left", "right"])
+
         for b in batches:
-            docs, starts, hashes = [], [], []
-            for _, doc, pos, before, after in zip(*(c.to_pylist() for c in b.columns)):
-                h = gram_hashes(np.frombuffer((before + after).encode("utf-32-le", "surrogatepass"), np.uint32), min_chars)
-                docs.append(np.full(len(h), doc))
-                starts.append(np.arange(len(h)) + pos - len(before))
-                hashes.append(h.astype(np.int64))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (hashes, docs, starts)], names=["win", "doc_id", "first"])
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if group and row[0] != group[0][0]:
+                    yield from flush()
+                    group.clear()
+                group.append(row)
+        yield from flush()
 
     return run
 
 
-def distinct_texts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(texts, copies): every distinct text once with the least of its doc_ids, and (doc_id, rep)
-    of the documents whose text several of them have. Only texts whose hash may be repeated,
-    by the merged Bloom filter, are shuffled."""
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
-    packed, bits = repeat_filter(src.select(F.xxhash64("text")), src.count())
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+def _sizes(rows: DataFrame, lo: str, hi: str) -> DataFrame:
+    """(part, n) of the partitions with several documents; rows are counted on the map side."""
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(lo).alias("lo"), F.max(hi).alias("hi"))
+    return stage(sizes.where("lo < hi").select("part", "n"), "sizes")
 
-    @F.pandas_udf(T.BooleanType())
-    def maybe_repeated(h: pd.Series) -> pd.Series:
-        p = _positions(h.to_numpy(), bits)
-        return pd.Series(((shared.value[p >> 3] >> (7 - (p & 7))) & 1).all(axis=1))
 
-    maybe = maybe_repeated(F.xxhash64("text"))
-    keyed = stage(src.where(maybe).select("doc_id", F.sha2("text", 256).alias("k"), F.length("text").alias("n")).distinct(), "copykeys")
-    groups = stage(keyed.groupBy("k").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs")), "copygroups")
-    copies = stage(keyed.join(groups.where("docs > 1"), "k").select("doc_id", "rep", "n"), "copies")
-    lone = src.where(~maybe)
-    reps = src.where(maybe).join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return lone.unionByName(reps), copies
+def _agreement(x: str, y: str, longest: int) -> Column:
+    """How many characters two strings agree on from the start."""
+    same = F.filter(F.sequence(F.lit(1), F.lit(longest)), lambda k: (k > F.length(x)) | (k > F.length(y)) | (F.substring(x, F.lit(1), k) != F.substring(y, F.lit(1), k)))
+    return F.coalesce(F.get(same, F.lit(0)), F.lit(longest + 1)) - 1
+
+
+def leaf_agreements(leaves: DataFrame, min_chars: int) -> DataFrame:
+    """(leaf, left, right) of the agreements of at least ``min_chars`` among ``leaves`` (part, leaf, lo,
+    hi, before, after), whose partitions are too large for one tree unless cut."""
+    rows, found = leaves, None
+    while True:
+        sizes = _sizes(rows, "lo", "hi")
+        small = rows.join(sizes.where(F.col("n") <= MAX_TREE).select("part"), "part", "left_semi")
+        trees = small.repartition("part").sortWithinPartitions("part").mapInArrow(_leaf_trees(min_chars), "leaf string, left int, right int")
+        found = trees if found is None else found.unionByName(trees)
+        large = sizes.where(F.col("n") > MAX_TREE)
+        if not large.limit(1).count():
+            return found
+        rows = stage(hot_split_join(rows, large, "part", "n").drop("n"), "large")
+        ends = rows.groupBy("part").agg(
+            F.count(F.lit(1)).alias("n"), F.min("after").alias("a0"), F.max("after").alias("a1"), F.min(F.reverse("before")).alias("b0"), F.max(F.reverse("before")).alias("b1")
+        )
+        common = stage(ends.select("part", "n", _agreement("a0", "a1", min_chars).alias("right"), _agreement("b0", "b1", min_chars).alias("left")), "common")
+        rows = stage(hot_split_join(rows, common, "part", "n").drop("n"), "cut")
+        whole = F.col("right") + F.col("left") >= min_chars
+        found = found.unionByName(rows.where(whole).select("leaf", "left", "right"))
+        middle = F.floor((F.col("right") + min_chars + 1 - F.col("left")) / 2).cast("int")
+        r = F.when(whole, F.col("right") + 1).otherwise(middle)
+        other = F.when(whole, F.col("left") + 1).otherwise(F.lit(min_chars + 1) - middle)
+        go_on = F.array_compact(F.array(
+            F.when(F.length("after") >= r, F.xxhash64("part", F.lit(0), F.substring("after", F.lit(1), r))), F.when(F.length("before") >= other, F.xxhash64("part", F.lit(1), F.right("before", other))),
+        ))
+        rows = stage(rows.select(F.explode(go_on).alias("part"), "leaf", "lo", "hi", "before", "after"), "longer")
+
+
+def partition_spans(contexts: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, first, last) of the stretches shared around the anchors of ``contexts`` (``CONTEXT``)."""
+    rows = contexts.withColumnRenamed("h", "part")
+    sizes = _sizes(rows, "doc_id", "doc_id")
+    small = rows.join(sizes.where(F.col("n") <= MAX_TREE).select("part"), "part", "left_semi").select("part", "doc_id", "pos", "before", "after")
+    spans = small.repartition("part").sortWithinPartitions("part").mapInArrow(_trees(min_chars), SPAN)
+    large = sizes.where(F.col("n") > MAX_TREE)
+    if not large.limit(1).count():
+        return spans
+    # in a large partition equal contexts become one leaf first
+    leaf = F.md5(F.concat_ws("\u0000", F.col("part").cast("string"), F.length("before").cast("string"), "before", "after"))
+    rows = stage(hot_split_join(rows, large, "part", "n").drop("n").withColumn("leaf", leaf), "places")
+    leaves = rows.groupBy("part", "leaf", "before", "after").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("places"))
+    leaves = stage(leaves, "leaves")
+    agreed = leaf_agreements(leaves.drop("places"), min_chars).distinct().join(leaves.select("leaf", "places"), "leaf")
+    agreed = stage(agreed.groupBy("leaf").agg(F.max("places").alias("places"), F.collect_set(F.struct("left", "right")).alias("s")), "agreed")
+    hits = hot_split_join(rows.select("leaf", "doc_id", "pos"), agreed, "leaf", "places").select("doc_id", "pos", F.explode("s").alias("s"))
+    return spans.unionByName(hits.select("doc_id", (F.col("pos") - F.col("s.left")).alias("first"), (F.col("pos") + F.col("s.right")).alias("last")))
 
 
 def shared_spans(docs: DataFrame, min_chars: int = 300, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -291,22 +348,23 @@ def shared_spans(docs: DataFrame, min_chars: int = 300, doc_id: str = "doc_id",
     NULL ids and texts give no row, texts shorter than ``min_chars`` share nothing, a text
     repeated within itself only shares nothing, rows repeating a doc_id with the same text
     count once. Equal texts are handled once and their spans given to each of their documents.
-    Empty input gives an empty result; other columns are ignored."""
-    texts, copies = distinct_texts(docs, doc_id, text)
-    chars = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
-    hashes = texts.mapInArrow(_anchor_hashes(min_chars), "h long")
-    packed, bits = repeat_filter(hashes, 2 * chars // (min_chars - PREFIX + 2))
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
-    contexts = stage(texts.mapInArrow(_contexts(min_chars, shared, bits), CONTEXT), "contexts")
-    hot = small_side(stage(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_TREE).select("h"), "hot"))
-    cold = contexts.join(hot, "h", "left_anti").repartition("h").sortWithinPartitions("h")
-    spans = cold.mapInArrow(_trees(min_chars), SPAN)
-    windows = contexts.join(hot, "h", "left_semi").mapInArrow(_windows(min_chars), "win long, doc_id long, first long")
-    rep = windows.groupBy("win").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("win")
-    from_windows = windows.join(rep, "win", "left_semi").select("doc_id", "first", (F.col("first") + min_chars).alias("last"))
-    spans = stage(spans.unionByName(from_windows).distinct(), "spans")
-    whole = copies.where(F.col("n") >= min_chars).select("doc_id", F.lit(0).cast("long").alias("first"), F.col("n").cast("long").alias("last"))
-    spans = spans.join(copies.select("doc_id"), "doc_id", "left_anti").unionByName(whole)
+    Empty input gives an empty result; other columns are ignored. The texts are read twice: for
+    their anchors, and for the contexts of those anchors that several documents have."""
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
+    marks = stage(src.mapInArrow(_mark(min_chars), MARKS), "marks")
+    groups = stage(marks.groupBy("copy_key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("rows")), "copygroups")
+    several = groups.where("rows > 1").select("copy_key", "rep", "rows", (F.col("rep") < F.col("last")).alias("shared"))
+    copies = stage(hot_split_join(marks.select("doc_id", "copy_key", "n"), several, "copy_key", "rows").select("doc_id", "rep", "n", "shared"), "copies")
+    # of equal texts only the first takes part
+    lone = marks.join(copies.where("doc_id <> rep").select("doc_id").distinct(), "doc_id", "left_anti")
+    places = stage(lone.where(F.size("h") > 0).select("doc_id", F.inline(F.arrays_zip("h", "pos"))), "anchors")
+    often = stage(places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "n"), "often")
+    wanted = stage(hot_split_join(places, often, "h", "n").groupBy("doc_id").agg(F.collect_list(F.struct("h", "pos")).alias("places")), "wanted")
+    texts = src.join(small_side(wanted.select("doc_id")), "doc_id", "left_semi").join(wanted, "doc_id").select("doc_id", "text", "places")
+    contexts = stage(texts.mapInArrow(_contexts(min_chars), CONTEXT), "contexts")
+    spans = stage(partition_spans(contexts, min_chars).distinct(), "spans")
+    whole = copies.where(F.col("shared") & (F.col("n") >= min_chars)).select("doc_id", F.lit(0).cast("long").alias("first"), F.col("n").alias("last"))
+    spans = spans.join(whole.select("doc_id"), "doc_id", "left_anti").unionByName(whole)
     w = Window.partitionBy("doc_id").orderBy("first", "last")
     reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     runs = spans.withColumn("new", F.when(F.col("first") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
