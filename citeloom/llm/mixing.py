@@ -9,8 +9,10 @@ hash. Only counts, never documents, are gathered."""
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +34,10 @@ def _token_counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        with open(path, "rb") as f:
+        from pyspark import SparkFiles
+
+        shipped = SparkFiles.get(os.path.basename(path))
+        with open(shipped if os.path.exists(shipped) else path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
@@ -43,7 +48,9 @@ def _token_counter(path: str):
 
 
 def token_lengths(docs: DataFrame, tokenizer: str = TOKENIZER, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(doc_id, source, n_tokens) of every document with a text."""
+    """(doc_id, source, n_tokens) of every document with a text. The vocabulary file is sent from the
+    driver to every executor."""
+    docs.sparkSession.sparkContext.addFile(tokenizer)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")).where("text is not null")
     return src.mapInArrow(_token_counter(tokenizer), "doc_id long, source string, n_tokens long")
 
@@ -67,25 +74,26 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int) -> dict[int,
         k = min(have[n] - take[n], (left - DP_DOCUMENTS * longest) // n + 1, left // n)
         take[n] += k
         left -= n * k
-    # bounded knapsack over what is left: a bit of ``reach`` per attainable sum
-    reach, mask, steps = 1, (1 << (left + 1)) - 1, []
+    # bounded knapsack over what is left: the step that first reached each attainable sum
+    first, steps = np.full(left + 1, -1, np.int32), [(0, 0)]
+    first[0] = 0
     for n, c in have.items():
         spare, size = min(c - take[n], left // n), 1
         while spare > 0:
             k = min(size, spare)
-            new = (reach | reach << n * k) & mask
-            if new != reach:
-                steps.append((reach, n, k))
-                reach = new
+            fresh = (first[: left + 1 - n * k] >= 0) & (first[n * k :] < 0)
+            if fresh.any():
+                first[n * k :][fresh] = len(steps)
+                steps.append((n, k))
             spare -= k
             size *= 2
-        if reach >> left & 1:
+        if first[left] >= 0:
             break
-    at = reach.bit_length() - 1
-    for before, n, k in reversed(steps):
-        if not before >> at & 1:
-            take[n] += k
-            at -= n * k
+    at = int(np.flatnonzero(first >= 0)[-1])
+    while at:
+        n, k = steps[first[at]]
+        take[n] += k
+        at -= n * k
     return take
 
 
@@ -108,7 +116,7 @@ def mix_plan(lengths: DataFrame, targets: DataFrame) -> DataFrame:
     hist = lengths.groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
     all_tokens = lengths.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("all_tokens"))
     want = _targets(targets).crossJoin(F.broadcast(all_tokens)).withColumn("target_tokens", F.floor(F.col("target_share") * F.col("all_tokens")))
-    joined = hist.join(F.broadcast(want), "source")
+    joined = hist.join(small_side(want), "source")
     plan = joined.groupBy("source").applyInPandas(_plan, PLAN)
     return plan.join(hist, ["source", "n_tokens"])
 
@@ -123,8 +131,9 @@ def _targets(targets: DataFrame) -> DataFrame:
 
 def mix_report(lengths: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per source of ``targets``: target, what is available, what the mix holds, and the
-    share reached. ``reachable`` is false if all documents of a source, each used
-    ``max_repeats`` times, stay below its share of a mix as large as all documents together.
+    share reached. ``reachable`` is false if the plan uses every document of a source
+    ``max_repeats`` times and still stays below its share of a mix as large as all documents
+    together.
 
     Documents without a source count towards that total only. A source without documents
     reaches nothing. NULL shares count as 0, NULL repeats as none. Empty tables give no row."""
@@ -134,13 +143,14 @@ def mix_report(lengths: DataFrame, targets: DataFrame) -> DataFrame:
     )
     all_tokens = lengths.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("all_tokens"))
     out = _targets(targets).join(have, "source", "left").join(mixed, "source", "left").crossJoin(F.broadcast(all_tokens))
-    out = out.fillna(0, ["tokens", "docs", "mixed_tokens", "whole_repeats"])
+    used_up = F.coalesce(F.col("whole_repeats") >= F.col("max_repeats"), F.lit(True)).alias("used_up")
+    out = out.select("*", used_up).fillna(0, ["tokens", "docs", "mixed_tokens", "whole_repeats"])
     mix = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1)))  # as many rows as there are sources
     return out.select(
         "source", "target_share", F.col("max_repeats").cast("long").alias("max_repeats"), "docs", "tokens", "whole_repeats", "mixed_tokens",
         (F.col("mixed_tokens") / F.nullif(F.col("all_tokens"), F.lit(0))).alias("share_of_budget"),
         (F.col("mixed_tokens") / F.nullif(mix, F.lit(0))).alias("share_of_mix"),
-        (F.col("tokens") * F.col("max_repeats") >= F.col("target_share") * F.col("all_tokens")).alias("reachable"),
+        (~(F.col("used_up") & (F.col("mixed_tokens") < F.col("target_share") * F.col("all_tokens")))).alias("reachable"),
     )
 
 
@@ -152,7 +162,7 @@ def mix_documents(lengths: DataFrame, targets: DataFrame, seed: int = 42) -> Dat
     each length is ever sorted."""
     plan = stage(mix_plan(lengths, targets), "plan")
     keyed = lengths.withColumn("h", F.xxhash64("doc_id", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
-    counts = keyed.join(F.broadcast(plan.where("extra > 0").select("source").distinct()), "source").groupBy("source", "n_tokens", "bucket").agg(F.count(F.lit(1)).alias("c"))
+    counts = keyed.join(small_side(plan.where("extra > 0").select("source").distinct()), "source").groupBy("source", "n_tokens", "bucket").agg(F.count(F.lit(1)).alias("c"))
     before = F.coalesce(F.sum("c").over(Window.partitionBy("source", "n_tokens").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cut = (
         counts.withColumn("before", before).join(plan.where("extra > 0").select("source", "n_tokens", "extra"), ["source", "n_tokens"])
