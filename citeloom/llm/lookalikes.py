@@ -29,8 +29,8 @@ Greek upper: Α A Β B Ε E Ζ Z Η H Ι I Κ K Μ M Ν N Ο O Ρ P Τ T Υ Y Χ
 SWITCH, REPLACE, SMOOTH = -14.0, -2.0, 0.1
 
 #: Nothing to do for a text without any character outside these: ASCII, single accented letters
-#: and typographic punctuation.
-_PLAIN = r"^[\x00-\x7F¡-§©«¬®°±¶·»¿-ıĴ-ľŁ-ňŊ-ǃǍ-ǰǴ-ɏ‐-‖‘-‣…‰-›]*$"
+#: and typographic punctuation. None of them is changed by compatibility normalisation.
+_PLAIN = r"^[\x00-\x7F¡-§©«¬®°±¶·»¿-ıĴ-ľŁ-ňŊ-žƀ-ǃǍ-ǰǴ-ɏ‐‒-‖‘-‣‰-′‵‸-›]*$"
 _IGNORABLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff]")
 _TOKEN = re.compile(r"[^\W\d_]+")
 _ACCENT = re.compile("[̀-ͯ]")
