@@ -9,6 +9,9 @@ import pytest
 
 pytest.importorskip("citeloom.llm")
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from citeloom.llm import leakage, titles  # noqa: E402
 from citeloom.llm.leakage import find_leaks  # noqa: E402
 from citeloom.llm.mixing import fit_budget, mix_documents, mix_report, token_lengths  # noqa: E402
 from citeloom.llm.titles import collapse_titles  # noqa: E402
@@ -84,3 +87,37 @@ def test_mix(spark):
     assert all(r["copies"] <= {"big": 1, "small": 2}[r["source"]] for r in mix) and len({r["doc_id"] for r in mix}) == len(mix)
     assert sorted(map(tuple, mix_documents(lengths, targets).collect())) == sorted(map(tuple, mix))
     assert mix_report(lengths.limit(0), targets).where("reachable and target_share > 0").count() in (0, 3)
+
+
+@pytest.mark.parametrize("rows", [30_000, 120_000])
+def test_filters_grow_with_the_rows(spark, monkeypatch, rows):
+    """With ranges of 8 KB each the part of the unique rows that is let through stays the same."""
+    monkeypatch.setattr(titles, "RANGE_BITS", 1 << 16)
+    monkeypatch.setattr(titles, "SEGMENT_BITS", 1 << 14)
+    assert titles.filter_size(rows)[0] >= rows * 16 // (1 << 16)
+    df = spark.range(rows, numPartitions=6).select(F.xxhash64("id").alias("h"), "id")
+    df = df.unionByName(df.where("id % 500 = 7")).repartition(6)
+    marked = titles.mark_repeats(df, "h", rows, "id")
+    assert marked.count() == df.count() and marked.where("id % 500 = 7 and not maybe").count() == 0
+    assert marked.where("maybe and id % 500 <> 7").count() < 0.02 * rows
+
+
+def test_leaks_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "MAX_BLOCK_CHARS", 50)
+    monkeypatch.setattr(leakage, "BUFFER_CHARS", 300)
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcd")
+    items = [(i, " ".join(word() + str(rng.randrange(9)) for _ in range(rng.randrange(5, 40)))) for i in range(30)]
+    docs = [(i, " ".join(items[rng.randrange(30)][1].split()[rng.randrange(4) :][: rng.randrange(10, 30)] + [word() * 2] * 3 + items[i % 30][1].split()[: rng.randrange(20)])) for i in range(120)]
+    grams = lambda t: {tuple(w) for w in zip(*(t.split()[k:] for k in range(13)))}
+    want = {(d, i) for d, t in docs for i, x in items if grams(t) & grams(x)}
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    found = find_leaks(d, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want and len(want) > 50
+    assert str(found._jdf.queryExecution().executedPlan()).count("Scan") == 1
+
+
+def test_reachable_comes_from_the_plan(spark):
+    df = spark.createDataFrame([(1, "a b c", "x")], "doc_id long, text string, source string")
+    short = mix_report(token_lengths(df), spark.createDataFrame([("x", 0.9, 1), ("y", 0.1, 2)], "source string, target_share double, max_repeats int")).where("not reachable").select("source")
+    assert "FlatMapGroupsInPandas" in short._jdf.queryExecution().executedPlan().toString() and [r[0] for r in short.collect()] == ["y"]
