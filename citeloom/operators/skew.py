@@ -33,6 +33,27 @@ def hot_split_join(big: DataFrame, groups: DataFrame, key: str, rows: str) -> Da
     )
 
 
-def staged_counts(df: DataFrame, key: str, *aggs) -> DataFrame:
-    """Row count ``n_rows`` and ``aggs`` per ``key``, combined on the map side, staged."""
-    return stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), *aggs), "counts")
+#: Rows of a block that are paired in one task with those of another piece of it.
+PIECE = 1000
+
+
+def within_blocks(rows: DataFrame, key: str, own: str, lead: str) -> DataFrame:
+    """(a, b): all pairs of rows of one ``key`` of which one leads or both do, each once or twice;
+    ``a`` and ``b``, a < b, are values of the column ``own``, ``lead`` is a boolean column.
+
+    Blocks of more than ``PIECE`` rows are cut into pieces by hash, and every pair of pieces is a
+    key of its own, so no task pairs more than PIECE * PIECE rows however large the block is.
+    Nothing is thinned. ``rows`` should be staged; NULL keys pair nothing."""
+    sizes = stage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "sizes")
+    left, right = rows.where(lead).select(key, F.col(own).alias("a")), rows.select(key, F.col(own).alias("b"), lead)
+    out = left.join(sizes.where(F.col("_n") <= PIECE).select(key), key, "left_semi").join(right, key).drop(key)
+    large = sizes.where(F.col("_n") > PIECE)
+    if large.limit(1).count():
+        piece = F.pmod(F.xxhash64(own), F.ceil(F.col("_n") / PIECE)).cast("int")
+        cut = stage(hot_split_join(rows, large, key, "_n").withColumn("_piece", piece).drop("_n"), "pieces")
+        parts = cut.select(key, "_piece").distinct()
+        pairs = parts.withColumnRenamed("_piece", "_pa").join(parts.withColumnRenamed("_piece", "_pb"), key)
+        a = cut.where(lead).select(key, F.col("_piece").alias("_pa"), F.col(own).alias("a"))
+        b = cut.select(key, F.col("_piece").alias("_pb"), F.col(own).alias("b"), lead)
+        out = out.unionByName(pairs.join(a, [key, "_pa"]).join(b, [key, "_pb"]).select("a", "b", lead))
+    return out.where((F.col("a") < F.col("b")) | ~F.col(lead) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
