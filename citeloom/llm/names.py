@@ -1,22 +1,28 @@
 """Problem 3: variant spellings of names typed by people.
 
-Every distinct spelling is parsed into words and initials. Spellings are blocked by their words,
-whole and with one letter left out (joined with the initial of another word, so that order does
-not matter), compared word by word with Jaro-Winkler, one-edit typing errors and a nickname
-table, and clustered by connected components. Any two spellings that ``same_name`` accepts share
-a block, however frequent their words are: words one edit apart have a form in common."""
+Every distinct spelling is parsed into words and initials. Spellings are blocked by the phonetic
+codes of their sorted words, compared word by word with Jaro-Winkler, one-edit typing errors and
+a nickname table, and clustered by connected components.
+
+Full names are blocked by the codes of two words, spellings with initials by the code of the
+surname and an initial. Since a typing error may change a code, one word of a block enters with
+the codes of all its forms less one letter as well: words one edit apart have such a form in
+common, and nicknames enter with the code of the full name. So any two spellings that
+``same_name`` accepts share a block, however frequent their words are."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.operators.components import connected_components
+from citeloom.operators.skew import within_blocks
 from citeloom.session import stage
 
 #: Given names and their short forms (fixed values).
@@ -209,39 +215,60 @@ def _forms(word: str) -> set[str]:
     return {word} | ({word[:i] + word[i + 1 :] for i in range(len(word))} if len(word) > 3 else set())
 
 
-def _marks(word: str) -> set[str]:
-    """Letters of which words that may agree share one, even with an error at the beginning."""
-    return _first(word) | (set(word[1]) if len(word) > 3 else set())
+_SOUNDS = (("sch", "s"), ("sh", "s"), ("ch", "k"), ("ck", "k"), ("ph", "f"), ("th", "t"), ("gh", "g"), ("wh", "w"), ("qu", "k"), ("c", "k"), ("q", "k"), ("z", "s"), ("x", "ks"), ("v", "f"), ("y", "i"), ("j", "i"), ("w", "u"), ("d", "t"))
 
 
-def block_keys(org: bool, words: list[str], initials: list[str]) -> set[str]:
-    """The blocks of one spelling.
+@lru_cache(maxsize=65_536)
+def phonetic(word: str) -> str:
+    """The phonetic code of a folded word: its first sound and its consonants, alike ones merged."""
+    for a, b in _SOUNDS:
+        word = word.replace(a, b)
+    return word[:1] + re.sub(r"(.)\1+", r"\1", re.sub("[aeiouh'’-]", "", word[1:]))
 
-    One word of an organisation may differ: its other words and a form of this one are the block.
-    Of a person, words that are no given names (all words if there are no others) are blocked
-    with one letter left out, for an error in them, and whole, for an error or nickname beside
-    them; known given names, shared by very many people, then need no block of their own."""
-    keys = set()
-    for k, w in enumerate(words):
-        rest = words[:k] + words[k + 1 :]
-        if org:
-            keys |= {f"o{' '.join(sorted(rest))}#{v}" for v in _forms(w)}
-            continue
-        if w in _ALL_GIVEN and not _ALL_GIVEN.issuperset(words):
-            continue
-        first = {m for v in rest for m in _first(v)} if rest else set(initials[:1]) or {"."}
-        keys |= {f"d{v}#{m}" for v in _forms(w) | _NICK.get(w, set()) for m in first}
-        keys |= {f"d{w}#{m}" for v in rest for m in _marks(v)}
+
+@lru_cache(maxsize=65_536)
+def _form_codes(word: str) -> frozenset[str]:
+    return frozenset(map(phonetic, _forms(word)))
+
+
+@lru_cache(maxsize=65_536)
+def _name_codes(word: str) -> frozenset[str]:
+    """The codes of a word and of the names it is short for."""
+    return frozenset(map(phonetic, {word} | _NICK.get(word, set())))
+
+
+def block_keys(org: bool, words: list[str], initials: list[str]) -> dict[str, bool]:
+    """The blocks of one spelling; True where it is to be paired with all others of the block, False
+    where only spellings with initials are to be paired with it.
+
+    One word of an organisation may differ: the codes of its other words and of a form of this one
+    are the block. Full names (True) are blocked by two words, those of two words also by each
+    surname and the initial of the other word (False); spellings of one word by it and the initial."""
+    if org:
+        return {f"o{' '.join(sorted(map(phonetic, words[:k] + words[k + 1 :])))}#{c}": True for k, w in enumerate(words) for c in _form_codes(w)}
+    keys = {}
+    if len(words) == 1:
+        return {f"i{c}#{(initials or '.')[0]}": True for c in _form_codes(words[0]) | _name_codes(words[0])}
+    for k, v in enumerate(words):
+        for w in words[k + 1 :]:
+            pairs = {(a, b) for a in _name_codes(v) for b in _name_codes(w)}
+            if len(words) == 2:
+                pairs |= {(a, b) for a in _form_codes(v) for b in _name_codes(w)} | {(a, b) for a in _name_codes(v) for b in _form_codes(w)}
+            keys |= {"f" + "|".join(sorted(p)): True for p in pairs}
+    if len(words) == 2:
+        for k, w in enumerate(words):
+            if len(w) > 3 and w not in _ALL_GIVEN:
+                keys |= {f"i{c}#{m}": False for c in _form_codes(w) for m in _first(words[1 - k])}
     return keys
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = [
-            (k, n) for n, org, w, i in zip(b["name"], b["org"], b["words"], b["initials"])
-            for k in block_keys(org, list(w), list(i))
+            (k, n, lead) for n, org, w, i in zip(b["name"], b["org"], b["words"], b["initials"])
+            for k, lead in block_keys(org, list(w), list(i)).items()
         ]
-        yield pd.DataFrame(rows, columns=["key", "name"])
+        yield pd.DataFrame(rows, columns=["key", "name", "lead"])
 
 
 def _accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,9 +299,9 @@ def link_names(names: DataFrame, name: str = "name") -> DataFrame:
     empty input an empty result; other columns are ignored."""
     distinct = names.select(F.col(name).alias("name")).where("name is not null and trim(name) <> ''").distinct()
     parsed = stage(distinct.mapInPandas(_parse, "name string, org boolean, words array<string>, initials array<string>"), "parsed")
-    keys = stage(parsed.mapInPandas(_keys, "key string, name string"), "keys")
-    a, b = keys.select("key", F.col("name").alias("name_a")), keys.select("key", F.col("name").alias("name_b"))
-    pairs = a.join(b, "key").where("name_a < name_b").select("name_a", "name_b").distinct()
+    keys = parsed.mapInPandas(_keys, "key string, name string, lead boolean")
+    keys = stage(keys.select(F.xxhash64("key").alias("key"), "name", "lead"), "keys")
+    pairs = within_blocks(keys, "key", "name", "lead").toDF("name_a", "name_b").distinct()
     links = stage(pairs.mapInPandas(_accept, "name_a string, name_b string, full_a boolean, full_b boolean"), "links")
     full = links.where("full_a and full_b")
     persons = stage(connected_components(full, "name_a", "name_b"), "persons")

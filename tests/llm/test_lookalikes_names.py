@@ -8,6 +8,7 @@ pytest.importorskip("citeloom.llm")
 
 from citeloom.llm.lookalikes import consistent_texts  # noqa: E402
 from citeloom.llm.names import block_keys, entity_pairs, jaro_winkler, link_names, one_edit, parse_name, same_name  # noqa: E402
+from citeloom.operators import skew  # noqa: E402
 
 CHANGED = {
     "the ca\u200bnopy of cells": "the canopy of cells", "soft\u00adware": "software", "a\u00a0b": "a b", "\uff57\uff49\uff44\uff45 letters": "wide letters", "e\ufb03cient": "efficient",
@@ -89,13 +90,15 @@ def test_blocks_lose_no_accepted_pair():
     keys = [block_keys(*p) for p in parsed]
     accepted = [(i, j) for i in range(len(parsed)) for j in range(i) if same_name(parsed[i], parsed[j])]
     assert len(accepted) > 1000
-    assert [(parsed[i], parsed[j]) for i, j in accepted if not keys[i] & keys[j]] == []
+    assert [(parsed[i], parsed[j]) for i, j in accepted if not any(keys[i][k] or keys[j][k] for k in keys[i].keys() & keys[j].keys())] == []
 
 
-def test_frequent_words_still_link(spark):
+def test_frequent_words_still_link(spark, monkeypatch):
     letters = "abcdefghijklmnopqrstuvwxyz"
     crowd = [f"{g}{a}{b}ix Grozidovum" for g in ("Zor", "Vel") for a in letters[:9] for b in "uoe"] + [f"{a.upper()}{b}vutrelka Maximilian" for a in letters for b in "aei"]
-    crowd += [f"{a.upper()}. Grozidovum" for a in letters if a not in "mcl"]
+    crowd += [f"{a.upper()}. Grozidovum" for a in letters if a not in "mclje"]
     pairs = [("Grozidovum, Maximilian", "Maximilian Grozidovum"), ("Cemil Grozidovum", "Cecil Grozidovum"), ("Leoplod Grozidovum", "L.A. Grozidovum")]
+    pairs += [("Jonathan Grozidovum", "J. Grozidovum"), ("Elizabeth Grozidovum", "Betty Grozidovum"), ("Chris Grozidovum", "Christopher Grozidovum")]
+    monkeypatch.setattr(skew, "PIECE", 20)  # blocks are cut
     got = {r["name"]: r["entity"] for r in link_names(spark.createDataFrame([(n,) for n in crowd + [x for p in pairs for x in p]], "name string")).collect()}
-    assert [got[a] == got[b] for a, b in pairs] == [True] * 3
+    assert [got[a] == got[b] for a, b in pairs] == [True] * 6
