@@ -8,7 +8,7 @@ pytest.importorskip("citeloom.llm")
 
 from citeloom.llm import linkage  # noqa: E402
 from citeloom.llm.linkage import confidence, link_citations, title_tokens  # noqa: E402
-from citeloom.llm.survivors import best_rows, group_papers, merged_documents, merged_records  # noqa: E402
+from citeloom.llm.survivors import best_rows, group_papers, merged_documents, merged_records, precedence  # noqa: E402
 
 PAPER = "paper_no long, doi string, arxiv string, title string, authors array<string>, documents array<string>, year string, feed string, updated_at timestamp, first_no int, field string"
 
@@ -39,14 +39,23 @@ def test_best_rows(spark):
 
 def test_missing_time_stamps_use_learnt_order(spark):
     rows, n = [], 0
-    for g in range(6):  # rows without an arXiv id come before rows with one
-        for at, ax in ((1, None), (2, f"2101.0000{g}")):
+    for g in range(6):  # version 1 comes before version 2, authors by initials before written out
+        for at, v, who in ((1, 1, "A. Leemann"), (2, 2, "Annabel Leemann")):
             n += 1
-            rows.append(dict(no=n, doi=f"10.5555/g{g}", arxiv=ax, feed="f1", at=at))
-    rows += [dict(no=90, doi="10.5555/q", feed="f1", at=9), dict(no=91, doi="10.5555/q", arxiv="2102.00001", feed="f1")]
-    feeds = spark.createDataFrame([("f1", 1)], "feed string, trust_rank int")
+            rows.append(dict(no=n, doi=f"10.5555/g{g}", arxiv=f"2101.0000{g}v{v}", authors=[who], feed="f1", at=at))
+    rows += [dict(no=90, doi="10.5555/q", arxiv="2102.00001v1", feed="f1", at=9), dict(no=91, arxiv="2102.00001v2", feed="f1"), dict(no=92, arxiv="2102.00001v1", feed="f1"), dict(no=93, arxiv="2102.00001v2", feed="f2", at=20)]
+    rows += [dict(no=80, arxiv="2103.00001v2", feed="f1", at=9), dict(no=81, arxiv="2103.00001v1", feed="f1"), dict(no=82, arxiv="2103.00001v2", feed="f1")]  # a known time stamp is not overridden
+    rows += [dict(no=70, arxiv="2104.00001v1", feed="f1"), dict(no=71, arxiv="2104.00001v2", feed="f1"), dict(no=72, arxiv="2104.00001v7", feed="zz")]
+    feeds = spark.createDataFrame([("f1", 1), ("f2", 2)], "feed string, trust_rank int")
     got = {(r["first_no"], r["field"]): r["from_no"] for r in best_rows(_papers(spark, rows), feeds).collect()}
-    assert got[90, "doi"] == 91 and got[1, "doi"] == 2
+    assert got[90, "arxiv"] == 91 and got[1, "arxiv"] == 2 and got[80, "arxiv"] == 80 and got[70, "arxiv"] == 71
+
+
+def test_precedence_has_no_cycles(spark):
+    seen = [(1, "a", 1), (1, "b", 2), (2, "a", 1), (2, "b", 2), (3, "b", 1), (3, "c", 2), (4, "c", 1), (4, "a", 2), (5, "b", 1), (5, "a", 2)]
+    times = spark.createDataFrame([(g, "doi", c, dt.datetime(2020, 1, t)) for g, c, t in seen], "first_no long, field string, cls string, t timestamp")
+    order, level = precedence(times)
+    assert order and all(level[f, a] < level[f, b] for f, a, b in order) and ("doi", "a", "b") in order or ("doi", "b", "c") in order
 
 
 def test_linking(spark):
