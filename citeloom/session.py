@@ -51,6 +51,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the driver ends."""
+    _staged.append((spark, path))
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
@@ -59,7 +64,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append((spark, path))
+    drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
