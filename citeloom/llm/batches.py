@@ -4,7 +4,8 @@ Every text gets a fingerprint of ``LANES`` 16-bit lanes, each the low bits of on
 its word sequences, so that the number of differing bits falls with the similarity. The
 fingerprints are stored in ``LANES`` rotated block tables: table t is keyed by the lanes t, t+5,
 t+17 and t+40. A new batch is looked up by exact block matches, verified by the Hamming distance
-of the fingerprints and then by the texts, and appended; history is never fingerprinted again.
+of the fingerprints and then by the texts, and appended (``HistoryIndex``); history is never
+fingerprinted, shuffled or sorted again.
 
 Plain sign-of-sum fingerprints were rejected: at a similarity of one half more than a quarter
 of their bits differ, so no usable block would match. With min-hash lanes a block of four
@@ -14,7 +15,9 @@ them: with 96 lanes a simulation lost 0.99 % of the pairs at s = 0.5. With 192 i
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeloom.operators.components import connected_components
-from citeloom.session import stage
+from citeloom.operators.skew import PIECE, hot_split_join, within_blocks
+from citeloom.session import drop_at_exit, shared_dir, small_side, stage
 
 #: No two tables share more than one lane: the differences of the offsets are all different.
 LANES, OFFSETS = 192, (0, 5, 17, 40)
@@ -138,53 +142,6 @@ def block_tables(fps: DataFrame) -> DataFrame:
     return fps.select("doc_id", "fp").mapInArrow(_blocks, "block long, doc_id long")
 
 
-#: Pairs put out at once while a block is read.
-_PAIRS = 1 << 18
-
-
-def _pairs_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs a < b within each block; rows arrive sorted by (block, doc_id). Only blocks with
-    several documents are touched, and the pairs of a large one leave in slices."""
-    rest_k, rest_d = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def flush(k: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
-        sizes = np.diff(np.concatenate((starts, [len(k)])))
-        out_a, out_b, held = [], [], 0
-        for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-            for i in range(s, s + n - 1):
-                other = d[i + 1 : s + n]
-                other = other[other != d[i]]
-                out_a.append(np.full(len(other), d[i]))
-                out_b.append(other)
-                held += len(other)
-                if held >= _PAIRS:
-                    yield _pair_batch(out_a, out_b)
-                    out_a, out_b, held = [], [], 0
-        if held:
-            yield _pair_batch(out_a, out_b)
-
-    for b in batches:
-        k = np.concatenate((rest_k, b.column(0).to_numpy()))
-        d = np.concatenate((rest_d, b.column(1).to_numpy()))
-        if not len(k):
-            continue
-        cut = int(np.searchsorted(k, k[-1]))  # the last block may go on in the next batch
-        yield from flush(k[:cut], d[:cut])
-        rest_k, rest_d = k[cut:], d[cut:]
-    yield from flush(rest_k, rest_d)
-
-
-def _pair_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-
-def block_pairs(fps: DataFrame) -> DataFrame:
-    """(a, b), a < b: documents that share a block. One shuffle of the block tables."""
-    rows = block_tables(fps).repartition("block").sortWithinPartitions("block", "doc_id")
-    return rows.mapInArrow(_pairs_of_blocks, "a long, b long").distinct()
-
-
 @F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1) if len(a) else np.zeros((0, 1), np.uint8)
@@ -206,65 +163,152 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def verified_pairs(candidates: DataFrame, fps: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity) of the candidate pairs (a, b) that pass the Hamming distance and then the
-    exact comparison of their texts."""
-    fa, fb = fps.select(F.col("doc_id").alias("a"), F.col("fp").alias("fp_a")), fps.select(F.col("doc_id").alias("b"), F.col("fp").alias("fp_b"))
-    near = candidates.join(fa, "a").join(fb, "b").where(_distance("fp_a", "fp_b") <= MAX_BITS).select("a", "b")
-    near = stage(near, "near")
-    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), words_of(F.col(text)).alias("t")).join(wanted, "id", "left_semi")
-    ta, tb = texts.select(F.col("id").alias("a"), F.col("t").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("t").alias("text_b"))
-    return near.join(ta, "a").join(tb, "b").select("a", "b", _similarity("text_a", "text_b").alias("similarity")).where(F.col("similarity") >= threshold)
+def id_ranges(ids: DataFrame, most: int = 64) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that hold all values of the one BIGINT column of ``ids``, as narrow as the
+    values allow. Only a thousand or so cell numbers reach the driver."""
+    lo, hi = ids.agg(F.min(ids.columns[0]), F.max(ids.columns[0])).first()
+    if lo is None:
+        return []
+    width = (hi - lo) // 1000 + 1
+    cells = ids.groupBy(F.floor((F.col(ids.columns[0]) - lo) / width).alias("c")).agg(F.min(ids.columns[0]).alias("a"), F.max(ids.columns[0]).alias("b")).orderBy("c").collect()
+    gaps = sorted(range(1, len(cells)), key=lambda k: cells[k - 1]["b"] - cells[k]["a"])[: most - 1]
+    cuts = [0, *sorted(gaps), len(cells)]
+    return [(cells[i]["a"], cells[j - 1]["b"]) for i, j in zip(cuts, cuts[1:])]
 
 
-class HistoryIndex:
-    """The accepted documents' fingerprints and block tables, kept as parquet under ``path``.
+def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in the staged one-column ``ids``. The ranges of the ids go to
+    the scan, so that where ``df`` lies by ``column`` only the row groups around them are read."""
+    near = [F.col(column).between(a, b) for a, b in id_ranges(ids)]
+    some = df.where(functools.reduce(Column.__or__, near)) if near else df.limit(0)
+    return some.join(small_side(ids.toDF(column)), column, "left_semi")
 
-    ``lookup`` compares a new batch with everything appended before; ``append`` accepts it.
-    Neither reads earlier texts except those of the few documents that match."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
 
-    def append(self, fps: DataFrame) -> None:
-        """Add the fingerprints of an accepted batch."""
-        fps.write.mode("append").parquet(f"{self.path}/fingerprints")
-        block_tables(fps).write.mode("append").parquet(f"{self.path}/blocks")
+def verified_pairs(candidates: DataFrame, fps: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, similarity) of the staged candidate pairs (a, b) that pass the Hamming distance of the
+    fingerprints (rep, fp) and then the exact comparison of their texts. Of fingerprints and texts
+    only those of candidates are looked up."""
+    ends = lambda pairs: stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ends")
+    fps = only(fps.select("rep", "fp"), ends(candidates), "rep")
+    fa, fb = fps.toDF("a", "fp_a"), fps.toDF("b", "fp_b")
+    near = stage(candidates.join(fa, "a").join(fb, "b").where(_distance("fp_a", "fp_b") <= MAX_BITS).select("a", "b"), "near")
+    texts = only(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")), ends(near), "id").select("id", words_of(F.col("t")).alias("t")).dropDuplicates(["id"])
+    ta, tb = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
+    return near.join(ta, "a").join(tb, "b").select("a", "b", _similarity("text_a", "text_b").alias("similarity")).where(F.col("similarity") >= threshold)
 
-    def lookup(self, fps: DataFrame, docs: DataFrame) -> DataFrame:
-        """(a, b, similarity): documents b of the batch ``fps`` like documents a of the history.
-        ``docs`` holds the texts of both. An index without any batch matches nothing."""
-        old_blocks = self.spark.read.schema("block long, doc_id long").parquet(f"{self.path}/blocks")
-        old = self.spark.read.schema(FP).parquet(f"{self.path}/fingerprints")
-        pairs = old_blocks.withColumnRenamed("doc_id", "a").join(block_tables(fps).withColumnRenamed("doc_id", "b"), "block").select("a", "b").distinct()
-        return verified_pairs(pairs.where("a <> b"), old.unionByName(fps), docs)
 
+class HistoryIndex:
+    """All accepted documents, kept under ``path``, which every executor must reach:
 
-def copy_classes(fps: DataFrame) -> DataFrame:
-    """(doc_id, batch_no, rep): documents with the least one of the same words."""
-    reps = stage(fps.groupBy("copy_key").agg(F.min("doc_id").alias("rep")), "reps")
-    return fps.select("doc_id", "batch_no", "copy_key").join(reps, "copy_key").select("doc_id", "batch_no", "rep")
+    * ``blocks`` (block, rep): the rotated block tables of all different texts, bucketed by block,
+    * ``texts`` (rep, copy_key, fp): their fingerprints; ``rep`` is the first document with the text,
+    * ``members`` (doc_id, batch_no, rep): every document with its text,
+    * ``links`` (a, b, similarity): the similar pairs of different texts.
 
+    A batch is one commit: its rows carry the number of the attempt, and only attempts named in
+    ``commits`` are read, so that a batch is seen whole or not at all, and accepting it again after a
+    failure, or twice, changes nothing. A look-up shuffles and sorts the batch only: buckets of history are
+    streamed past the hashed blocks of the batch. The number of buckets is fixed by the first batch,
+    with room for a growth to four times of it before buckets exceed 64 MB."""
 
-def near_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_no: str = "batch_no") -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): ``members`` (doc_id, batch_no, rep) maps every document to the least one
-    of the same words, ``pairs`` (a, b, similarity) links such representatives whose sets of
-    three-word sequences share at least half of their union.
+    TABLES = {"texts": "rep long, copy_key binary, fp binary, attempt string", "members": "doc_id long, batch_no int, rep long, attempt string", "links": "a long, b long, similarity double, attempt string"}
 
-    Copies are never compared with each other, so a group of copies holding a third of all rows
-    costs one row per copy. Texts of fewer than three words and rows without id, text or batch
-    are left out; repeated rows of one doc_id count once; empty tables give empty results."""
-    fps = stage(fingerprint_documents(docs, doc_id, text, batch_no).dropDuplicates(["doc_id"]), "fps")
-    members = stage(copy_classes(fps), "members")
-    lone = stage(fps.join(members.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "lone")
-    return members, stage(verified_pairs(stage(block_pairs(lone), "cand"), lone, docs, doc_id, text), "pairs")
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self._blocks = spark, path.rstrip("/"), f"citeloom_blocks_{uuid.uuid4().hex}"
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        p, fs = self._fs(f"{self.path}/{folder}")
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _mark(self, folder: str, name: str) -> None:
+        p, fs = self._fs(f"{self.path}/{folder}/{name}")
+        fs.create(p, False).close()
+
+    def attempts(self) -> dict[str, str]:
+        """The attempt that counts for each accepted batch, by batch number."""
+        return dict(n.split("=") for n in self._names("commits"))
+
+    def table(self, name: str) -> DataFrame:
+        """The accepted rows of ``texts``, ``members`` or ``links``."""
+        rows = self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}") if self._names(name) else self.spark.createDataFrame([], self.TABLES[name])
+        return rows.where(F.col("attempt").isin(list(self.attempts().values()))).drop("attempt")
+
+    def _append(self, name: str, rows: DataFrame, attempt: str) -> None:
+        rows.withColumn("attempt", F.lit(attempt)).write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
+
+    def _block_table(self, first_rows: int) -> int:
+        """Register the block table in this session; returns its number of buckets."""
+        made = self._names("buckets")
+        n = int(made[0]) if made else 8
+        while not made and n * (64 << 20) < 4 * first_rows * LANES * 16:
+            n *= 2
+        if not made:
+            self._mark("buckets", str(n))
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._blocks} (block BIGINT, rep BIGINT, attempt STRING) USING parquet CLUSTERED BY (block) INTO {n} BUCKETS LOCATION '{self.path}/blocks'")
+        return n
+
+    def candidates(self, attempt: str, old: list[str]) -> DataFrame:
+        """(a, b): texts of this attempt and texts of it or of accepted batches that share a block.
+
+        Both sides are read by bucket. Blocks of several texts are few; they are paired in pieces."""
+        new = self.spark.table(self._blocks).where(F.col("attempt") == attempt)
+        rows = self.spark.table(self._blocks).where(F.col("attempt").isin([*old, attempt])).select("block", "rep", (F.col("attempt") == attempt).alias("lead"))
+        if old:
+            rows = rows.join(new.select("block").hint("shuffle_hash"), "block", "left_semi")
+        several = stage(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block"), "several")
+        return stage(within_blocks(stage(rows.join(several, "block", "left_semi"), "shared"), "block", "rep", "lead").distinct(), "cand")
+
+    def accept(self, batch: int | str, fps: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
+        """Look up a batch and append it. ``fps`` are its fingerprints, staged; ``docs`` holds the texts of
+        the batch and of history. A batch that was accepted before is left alone, documents that were
+        in an earlier batch are not taken again."""
+        old = self.attempts()
+        if str(batch) in old:
+            return
+        attempt = uuid.uuid4().hex
+        n = self._block_table(fps.count())
+        fps = fps.dropDuplicates(["doc_id"]).join(self.table("members").select("doc_id"), "doc_id", "left_anti")
+        known = self.table("texts").select("copy_key", "rep")
+        reps = stage(fps.groupBy("copy_key").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("n")).join(known, "copy_key", "left"), "reps")
+        members = hot_split_join(fps.select("doc_id", "batch_no", "copy_key"), reps, "copy_key", "n").select("doc_id", "batch_no", F.coalesce("rep", "own").alias("rep"))
+        fresh = stage(fps.join(reps.where("rep is null").select(F.col("own").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "copy_key", "fp"), "fresh")
+        blocks = block_tables(fresh.withColumnRenamed("rep", "doc_id")).withColumn("attempt", F.lit(attempt))
+        blocks.repartition(n, "block").write.insertInto(self._blocks)
+        pairs = self.candidates(attempt, list(old.values()))
+        links = verified_pairs(pairs, self.table("texts").select("rep", "fp").unionByName(fresh.select("rep", "fp")), docs, doc_id, text)
+        for name, rows in (("members", members), ("texts", fresh), ("links", links)):
+            self._append(name, rows, attempt)
+        self._mark("commits", f"{batch}={attempt}")
+
+
+def history_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_no: str = "batch_no") -> HistoryIndex:
+    """An index that has accepted all batches of ``docs``, one after the other, in order of ``batch_no``.
+
+    ``members`` maps every document to the first one of the same words, ``links`` pairs such
+    representatives whose sets of three-word sequences share at least half of their union. Copies
+    are never compared with each other, so a group of copies holding a third of all rows costs one row
+    per copy. Texts of fewer than three words and rows without id, text or batch are left out;
+    repeated rows of one doc_id count once, in their first batch; empty tables give an empty index."""
+    spark = docs.sparkSession
+    root = f"{shared_dir(spark)}/citeloom-history-{uuid.uuid4().hex}"
+    drop_at_exit(spark, root)
+    fingerprint_documents(docs, doc_id, text, batch_no).write.partitionBy("batch_no").parquet(f"{root}/arrived")
+    arrived = spark.read.schema(FP).parquet(f"{root}/arrived")
+    index = HistoryIndex(spark, f"{root}/index")
+    for r in arrived.select("batch_no").distinct().orderBy("batch_no").collect():
+        index.accept(r["batch_no"], arrived.where(F.col("batch_no") == r["batch_no"]), docs, doc_id, text)
+    return index
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_links): one row per document with its class of near-copies and the
     number of other distinct texts its own is linked to."""
-    members, pairs = near_pairs(docs)
+    index = history_of(docs)
+    members, pairs = index.table("members"), index.table("links")
     ends = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select("b")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     comp = connected_components(pairs).withColumnRenamed("node", "rep")
     return (
@@ -274,15 +318,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def batch_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: near-copies of different batches, copies included."""
-    members, pairs = near_pairs(docs)
-    pairs = pairs.select("a", "b")
-    several = members.groupBy("rep").agg(F.min("batch_no").alias("lo"), F.max("batch_no").alias("hi")).where("lo < hi").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
-    links = pairs.unionByName(several)
-    left = members.select(F.col("rep").alias("a"), F.col("doc_id").alias("x"), F.col("batch_no").alias("bx"))
-    right = members.select(F.col("rep").alias("b"), F.col("doc_id").alias("y"), F.col("batch_no").alias("by"))
-    out = links.join(left, "a").join(right, "b").where("bx <> by and (a <> b or x < y)")
-    return out.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
+    """(doc_a, doc_b), doc_a < doc_b: near-copies of different batches, copies included.
+
+    Classes of copies are cut into pieces of ``PIECE`` documents, and pairs of pieces are joined, so
+    that a class of a third of all documents is no single task."""
+    index = history_of(docs)
+    members, pairs = index.table("members"), index.table("links").select("a", "b")
+    sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min("batch_no").alias("lo"), F.max("batch_no").alias("hi"))
+    sizes = stage(sizes.withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int")), "sizes")
+    piece = F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("piece")
+    cut = stage(hot_split_join(members, sizes, "rep", "n").select("rep", piece, "doc_id", "batch_no"), "cut")
+    links = pairs.unionByName(sizes.where("lo < hi").select(F.col("rep").alias("a"), F.col("rep").alias("b")))
+    count = lambda side: sizes.select(F.col("rep").alias(side), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias(f"p{side}"))
+    side = lambda name: cut.toDF(name, f"p{name}", f"doc_{name}", f"batch_{name}")
+    out = links.join(count("a"), "a").join(count("b"), "b").join(side("a"), ["a", "pa"]).join(side("b"), ["b", "pb"])
+    out = out.where("batch_a <> batch_b and (a <> b or doc_a < doc_b)")
+    return out.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
 
 
 def batch_papers(docs: DataFrame, papers: DataFrame) -> DataFrame:

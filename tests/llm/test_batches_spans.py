@@ -11,7 +11,7 @@ import pytest
 pytest.importorskip("citeloom.llm")
 
 from citeloom.llm import batches, spans  # noqa: E402
-from citeloom.llm.batches import HistoryIndex, batch_pairs, fingerprint_documents, near_classes, shingle_hashes  # noqa: E402
+from citeloom.llm.batches import HistoryIndex, batch_pairs, block_tables, fingerprint_documents, id_ranges, near_classes, shingle_hashes  # noqa: E402
 
 
 def _words(rng, n):
@@ -56,15 +56,42 @@ def test_batches_against_brute_force(spark):
 def test_history_index(spark, tmp_path):
     rows = _corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string, batch_no int")
-    index, found = HistoryIndex(spark, f"file://{tmp_path}/index"), set()
-    index.append(fingerprint_documents(df.where("batch_no = 0")))
-    for b in (1, 2):
+    path = f"file://{tmp_path}/index"
+    for b in (0, 1, 2):
+        index = HistoryIndex(spark, path)  # as a new session finds it
         fps = fingerprint_documents(df.where(f"batch_no = {b}"))
-        found |= {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in index.lookup(fps, df).collect()}
-        index.append(fps)
+        if b == 1:  # an attempt that failed before its commit
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(HistoryIndex, "_mark", lambda *a: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    index.accept(b, fps, df)
+            assert "1" not in index.attempts()
+        index.accept(b, fps, df)
+        before = index.table("members").count()
+        index.accept(b, fps, df)
+        assert index.table("members").count() == before
+    reps = {r["doc_id"]: (r["rep"], r["batch_no"]) for r in index.table("members").collect()}
+    links = {(r["a"], r["b"]) for r in index.table("links").collect()}
+    found = {(x, y) for x in reps for y in reps if x < y and reps[x][1] != reps[y][1] and (reps[x][0] == reps[y][0] or tuple(sorted((reps[x][0], reps[y][0]))) in links)}
     assert found == _similar(rows)
 
 
+def test_lookup_does_not_move_history(spark, tmp_path):
+    df = spark.createDataFrame(_corpus(), "doc_id long, text string, batch_no int")
+    index = HistoryIndex(spark, f"file://{tmp_path}/index")
+    index.accept(0, fingerprint_documents(df.where("batch_no = 0")), df)
+    blocks = spark.table(index._blocks)
+    new = block_tables(fingerprint_documents(df.where("batch_no = 1"))).repartition(8, "block")
+    plan = blocks.join(new.select("block").hint("shuffle_hash"), "block", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "ShuffledHashJoin" in plan
+
+
+def test_id_ranges(spark):
+    df = spark.createDataFrame([(i,) for i in [*range(0, 100), *range(5000, 5100), 10**9]], "id long")
+    assert id_ranges(df, 3) == [(0, 5099), (10**9, 10**9)] or id_ranges(df, 3)[-1] == (10**9, 10**9)
+    assert id_ranges(df.limit(0)) == []
+
+
 def test_blocks_find_pairs_at_one_half():
     """Simulated lanes of pairs at similarity 0.5, through the block tables and the Hamming distance."""
     rng, n = np.random.default_rng(3), 40_000
