@@ -211,7 +211,7 @@ class HistoryIndex:
     streamed past the hashed blocks of the batch. The number of buckets is fixed by the first batch,
     with room for a growth to four times of it before buckets exceed 64 MB."""
 
-    TABLES = {"texts": "rep long, copy_key binary, fp binary, attempt string", "members": "doc_id long, batch_no int, rep long, attempt string", "links": "a long, b long, similarity double, attempt string"}
+    TABLES = {"texts": "rep long, copy_key binary, fp binary, attempt int", "members": "doc_id long, batch_no int, rep long, attempt int", "links": "a long, b long, similarity double, attempt int"}
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path, self._blocks = spark, path.rstrip("/"), f"citeloom_blocks_{uuid.uuid4().hex}"
@@ -228,39 +228,46 @@ class HistoryIndex:
         p, fs = self._fs(f"{self.path}/{folder}/{name}")
         fs.create(p, False).close()
 
-    def attempts(self) -> dict[str, str]:
+    def attempts(self) -> dict[str, int]:
         """The attempt that counts for each accepted batch, by batch number."""
-        return dict(n.split("=") for n in self._names("commits"))
+        return {b: int(n) for b, n in (x.rsplit("=", 1) for x in self._names("commits"))}
 
     def table(self, name: str) -> DataFrame:
         """The accepted rows of ``texts``, ``members`` or ``links``."""
         rows = self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}") if self._names(name) else self.spark.createDataFrame([], self.TABLES[name])
         return rows.where(F.col("attempt").isin(list(self.attempts().values()))).drop("attempt")
 
-    def _append(self, name: str, rows: DataFrame, attempt: str) -> None:
+    def _append(self, name: str, rows: DataFrame, attempt: int) -> None:
         rows.withColumn("attempt", F.lit(attempt)).write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
 
-    def _block_table(self, first_rows: int) -> int:
+    def _block_table(self, first: DataFrame) -> int:
         """Register the block table in this session; returns its number of buckets."""
         made = self._names("buckets")
-        n = int(made[0]) if made else 8
-        while not made and n * (64 << 20) < 4 * first_rows * LANES * 16:
-            n *= 2
         if not made:
+            size, n = first.count() * LANES * 16, 8
+            while n * (64 << 20) < 4 * size:
+                n *= 2
             self._mark("buckets", str(n))
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._blocks} (block BIGINT, rep BIGINT, attempt STRING) USING parquet CLUSTERED BY (block) INTO {n} BUCKETS LOCATION '{self.path}/blocks'")
+            made = [str(n)]
+        n = int(made[0])
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._blocks} (block BIGINT, rep BIGINT, attempt INT) USING parquet CLUSTERED BY (block) INTO {n} BUCKETS LOCATION '{self.path}/blocks'")
         return n
 
-    def candidates(self, attempt: str, old: list[str]) -> DataFrame:
+    def candidates(self, attempt: int, old: list[int]) -> DataFrame:
         """(a, b): texts of this attempt and texts of it or of accepted batches that share a block.
 
-        Both sides are read by bucket. Blocks of several texts are few; they are paired in pieces."""
-        new = self.spark.table(self._blocks).where(F.col("attempt") == attempt)
-        rows = self.spark.table(self._blocks).where(F.col("attempt").isin([*old, attempt])).select("block", "rep", (F.col("attempt") == attempt).alias("lead"))
+        History is read once, by bucket, past the hashed blocks of the batch; what matches is little.
+        Blocks of several texts are paired in pieces."""
+        blocks = self.spark.table(self._blocks)
+        new = blocks.where(F.col("attempt") == attempt).select("block", "rep")
+        several = new.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block")
+        shared = None
         if old:
-            rows = rows.join(new.select("block").hint("shuffle_hash"), "block", "left_semi")
-        several = stage(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("block"), "several")
-        return stage(within_blocks(stage(rows.join(several, "block", "left_semi"), "shared"), "block", "rep", "lead").distinct(), "cand")
+            shared = stage(blocks.where(F.col("attempt").isin(old)).select("block", "rep").join(new.select("block").hint("shuffle_hash"), "block", "left_semi"), "matched")
+            several = several.unionByName(shared.select("block"))
+        own = new.join(stage(several, "several").distinct(), "block", "left_semi").withColumn("lead", F.lit(True))
+        rows = own if shared is None else own.unionByName(shared.withColumn("lead", F.lit(False)))
+        return stage(within_blocks(stage(rows, "shared"), "block", "rep", "lead").distinct(), "cand")
 
     def accept(self, batch: int | str, fps: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
         """Look up a batch and append it. ``fps`` are its fingerprints, staged; ``docs`` holds the texts of
@@ -269,8 +276,8 @@ class HistoryIndex:
         old = self.attempts()
         if str(batch) in old:
             return
-        attempt = uuid.uuid4().hex
-        n = self._block_table(fps.count())
+        attempt = uuid.uuid4().int % (1 << 31)
+        n = self._block_table(fps)
         fps = fps.dropDuplicates(["doc_id"]).join(self.table("members").select("doc_id"), "doc_id", "left_anti")
         known = self.table("texts").select("copy_key", "rep")
         reps = stage(fps.groupBy("copy_key").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("n")).join(known, "copy_key", "left"), "reps")
