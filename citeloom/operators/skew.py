@@ -19,12 +19,12 @@ def hot_split_join(big: DataFrame, groups: DataFrame, key: str, rows: str) -> Da
     1/HOT_SHARE = 256, are joined by broadcast, so their rows never meet in one task; all
     others are joined by a shuffle on ``key``. Nothing is dropped. ``groups`` should be staged:
     it is read three times. NULL keys join nothing. Empty inputs give an empty result."""
-    total = groups.agg(F.sum(rows).alias("n")).first()["n"] or 0
-    limit = total * HOT_SHARE
-    hot = groups.where((F.col(rows) > F.lit(limit)) & (F.col(rows) > 1))
-    hot_list = hot.select(key).limit(int(1 / HOT_SHARE) + 1).collect()
-    if not hot_list:
+    total, most = groups.agg(F.sum(rows), F.max(rows)).first()
+    limit = max((total or 0) * HOT_SHARE, 1)
+    if (most or 0) <= limit:
         return big.join(groups, key)
+    hot = groups.where(F.col(rows) > F.lit(limit))
+    hot_list = hot.select(key).limit(int(1 / HOT_SHARE) + 1).collect()
     values = [r[0] for r in hot_list]
     is_hot = F.col(key).isin(values)
     return (
