@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from citeloom.operators.components import connected_components
 from citeloom.operators.skew import PIECE, hot_split_join, within_blocks
-from citeloom.session import drop_at_exit, shared_dir, small_side, stage
+from citeloom.session import MAX_BROADCAST_ROWS, drop_at_exit, shared_dir, stage
 
 #: No two tables share more than one lane: the differences of the offsets are all different.
 LANES, OFFSETS = 192, (0, 5, 17, 40)
@@ -50,6 +51,14 @@ def words_of(text: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")))
 
 
+_WORD = re.compile(r"[^\W_]+")
+
+
+def words_in(text: str) -> str:
+    """``words_of`` of one string."""
+    return " ".join(_WORD.findall(text)).lower()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -106,7 +115,7 @@ def fingerprints(texts: list[str]) -> list[bytes | None]:
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, CHUNK_ROWS):
-            part = b.column(2).slice(lo, CHUNK_ROWS).to_pylist()
+            part = [words_in(t) for t in b.column(2).slice(lo, CHUNK_ROWS).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(lo, CHUNK_ROWS), b.column(1).slice(lo, CHUNK_ROWS),
                  pa.array([hashlib.blake2b(t.encode(), digest_size=16).digest() for t in part], pa.binary()), pa.array(fingerprints(part), pa.binary())],
@@ -120,7 +129,7 @@ FP = "doc_id long, batch_no int, copy_key binary, fp binary"
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_no: str = "batch_no") -> DataFrame:
     """(doc_id, batch_no, copy_key, fp) of every document with at least three words. ``copy_key``
     is equal for texts of the same words in the same order."""
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(batch_no).cast("int").alias("batch_no"), words_of(F.col(text)).alias("text"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(batch_no).cast("int").alias("batch_no"), F.col(text).alias("text"))
     return src.where("doc_id is not null and batch_no is not null and text is not null").mapInArrow(_fingerprint, FP).where("fp is not null")
 
 
@@ -163,14 +172,13 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def id_ranges(ids: DataFrame, most: int = 64) -> list[tuple[int, int]]:
-    """At most ``most`` ranges that hold all values of the one BIGINT column of ``ids``, as narrow as the
-    values allow. Only a thousand or so cell numbers reach the driver."""
-    lo, hi = ids.agg(F.min(ids.columns[0]), F.max(ids.columns[0])).first()
-    if lo is None:
+def id_ranges(ids: DataFrame, lo: int | None, hi: int | None, most: int = 64) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that hold all values of the one BIGINT column of ``ids``, which lie from
+    ``lo`` to ``hi``, as narrow as the values allow. Only a thousand or so cells reach the driver."""
+    if lo is None or hi is None:
         return []
-    width = (hi - lo) // 1000 + 1
-    cells = ids.groupBy(F.floor((F.col(ids.columns[0]) - lo) / width).alias("c")).agg(F.min(ids.columns[0]).alias("a"), F.max(ids.columns[0]).alias("b")).orderBy("c").collect()
+    c = F.col(ids.columns[0])
+    cells = sorted(ids.groupBy(F.floor((c - lo) / ((hi - lo) // 1000 + 1))).agg(F.min(c).alias("a"), F.max(c).alias("b")).select("a", "b").collect())
     gaps = sorted(range(1, len(cells)), key=lambda k: cells[k - 1]["b"] - cells[k]["a"])[: most - 1]
     cuts = [0, *sorted(gaps), len(cells)]
     return [(cells[i]["a"], cells[j - 1]["b"]) for i, j in zip(cuts, cuts[1:])]
@@ -179,9 +187,11 @@ def id_ranges(ids: DataFrame, most: int = 64) -> list[tuple[int, int]]:
 def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows of ``df`` whose ``column`` is in the staged one-column ``ids``. The ranges of the ids go to
     the scan, so that where ``df`` lies by ``column`` only the row groups around them are read."""
-    near = [F.col(column).between(a, b) for a, b in id_ranges(ids)]
+    lo, hi, n = ids.agg(F.min(ids.columns[0]), F.max(ids.columns[0]), F.count(F.lit(1))).first()
+    near = [F.col(column).between(a, b) for a, b in id_ranges(ids, lo, hi)]
     some = df.where(functools.reduce(Column.__or__, near)) if near else df.limit(0)
-    return some.join(small_side(ids.toDF(column)), column, "left_semi")
+    ids = ids.toDF(column)
+    return some.join(F.broadcast(ids) if n <= MAX_BROADCAST_ROWS else ids, column, "left_semi")
 
 
 def verified_pairs(candidates: DataFrame, fps: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -265,7 +275,7 @@ class HistoryIndex:
         if old:
             shared = stage(blocks.where(F.col("attempt").isin(old)).select("block", "rep").join(new.select("block").hint("shuffle_hash"), "block", "left_semi"), "matched")
             several = several.unionByName(shared.select("block"))
-        own = new.join(stage(several, "several").distinct(), "block", "left_semi").withColumn("lead", F.lit(True))
+        own = new.join(stage(several, "several").hint("shuffle_hash"), "block", "left_semi").withColumn("lead", F.lit(True))
         rows = own if shared is None else own.unionByName(shared.withColumn("lead", F.lit(False)))
         return stage(within_blocks(stage(rows, "shared"), "block", "rep", "lead").distinct(), "cand")
 

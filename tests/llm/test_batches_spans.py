@@ -88,8 +88,8 @@ def test_lookup_does_not_move_history(spark, tmp_path):
 
 def test_id_ranges(spark):
     df = spark.createDataFrame([(i,) for i in [*range(0, 100), *range(5000, 5100), 10**9]], "id long")
-    assert id_ranges(df, 3) == [(0, 5099), (10**9, 10**9)] or id_ranges(df, 3)[-1] == (10**9, 10**9)
-    assert id_ranges(df.limit(0)) == []
+    assert id_ranges(df, 0, 10**9, 3) == [(0, 5099), (10**9, 10**9)] and id_ranges(df.where("id < 9999"), 0, 5099, 2) == [(0, 99), (5000, 5099)]
+    assert id_ranges(df.limit(0), None, None) == []
 
 
 def test_blocks_find_pairs_at_one_half():
