@@ -4,8 +4,10 @@ Citations and papers that share rare attributes (surname and year, neighbouring
 neighbouring authors) span a candidate graph whose edges weigh
 what the shared attributes are worth. Meta-blocking drops the edges that are weak for their
 citation, the rest are compared in full. Citations that then fit no paper are tried again with all
-their attributes and without dropping any edge. The similarity of an edge is then propagated to
-the edges of the same citation with other rows of the same paper until nothing changes."""
+their attributes and without dropping any edge. Similarity then spreads along the graph until
+nothing changes: an edge takes that of the same citation with other rows of the same paper, and an
+edge that is almost sure is lifted if a document with that citation surely cites another paper of
+the same authors, which may make its own neighbours sure in turn."""
 
 from __future__ import annotations
 
@@ -33,6 +35,8 @@ MAX_KEY_PAIRS = 50_000
 #: An edge weaker than this part of the citation's strongest is dropped.
 EDGE_SHARE = 0.15
 MIN_CONFIDENCE = 0.6
+#: Edges from this confidence on may be lifted by their neighbours, by so much at most.
+BORDER, LIFT = 0.55, 0.06
 
 
 @lru_cache(maxsize=20_000)
@@ -121,6 +125,30 @@ def _word_match(r: str, q: str) -> bool:
     return r == q or (len(r) > 3 and len(q) > 3 and one_edit(r, q)) or (len(r) >= 3 and len(q) > len(r) + 1 and q.startswith(r))
 
 
+@lru_cache(maxsize=65_536)
+def _word_forms(word: str) -> frozenset[str]:
+    return frozenset(_forms(word))
+
+
+@lru_cache(maxsize=512)
+def _reach(q: tuple[str, ...]) -> tuple[frozenset[str], frozenset[str]]:
+    """All that can match a word of ``q``: forms of its words, and their beginnings."""
+    return frozenset(f for w in q for f in _word_forms(w)), frozenset(w[:k] for w in q for k in range(3, len(w) + 1))
+
+
+def may_agree(r: tuple[str, ...], q: tuple[str, ...]) -> bool:
+    """False only if fewer than 0.7 of the words of ``r`` can have a partner in ``q``; much cheaper than
+    ``title_agreement``, which decides."""
+    forms, starts = _reach(q)
+    miss, most = 0, 0.3 * len(r) + 1e-9
+    for k, w in enumerate(r):
+        if not (w in starts or not forms.isdisjoint(_word_forms(w)) or k + 1 < len(r) and w + r[k + 1] in forms or k and r[k - 1] + w in forms):
+            miss += 1
+            if miss > most:
+                return False
+    return True
+
+
 def title_agreement(r: tuple[str, ...], q: tuple[str, ...]) -> tuple[float, float]:
     """The parts of a citation's and of a paper's title words that have a partner in the other:
     equal, one letter off, or an abbreviation."""
@@ -176,6 +204,8 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
         a = author_agreement(authors, p_authors)
         # authors and year alone: all of several people and the very year
         return 0.62 if a == 1.0 and len(authors) >= 2 and len(authors) == len(p_authors) and gap == 0 else 0.0
+    if not may_agree(r, q):
+        return 0.0
     cr, cq = title_agreement(r, q)
     cut = bool(re.search(r"(?:\.\.\.?|…)\W*$", title or ""))
     series_r, series_q = ({w for w in s if w in SERIES_WORDS} for s in (r, q))
@@ -202,11 +232,12 @@ def _keys(paper: bool, every: bool):
 
 def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        c = [
-            confidence(t, list(a), y, pt, list(pa), py)
-            for t, a, y, pt, pa, py in zip(b["title"], b["people"], b["year"], b["p_title"], b["p_people"], b["p_year"])
-        ]
-        yield pd.DataFrame({"cid": b["cid"], "paper_no": b["paper_no"], "confidence": c})
+        rows = []
+        for cid, no, t, a, y, pt, pa, py in zip(b["cid"], b["paper_no"], b["title"], b["people"], b["year"], b["p_title"], b["p_people"], b["p_year"]):
+            c = confidence(t, a := list(a), y, pt, pa := list(pa), py)
+            if c >= BORDER:
+                rows.append((cid, no, c, sorted(set(surnames(a)) & set(surnames(pa)))))
+        yield pd.DataFrame(rows, columns=["cid", "paper_no", "confidence", "people"])
 
 
 def attribute_rows(x: DataFrame, own: str, paper: bool, every: bool = False) -> DataFrame:
@@ -249,27 +280,42 @@ def candidate_graph(citations: DataFrame, papers: DataFrame, p: DataFrame, every
     return edges.withColumn("best", best).where(F.col("weight") >= EDGE_SHARE * F.col("best")).select("cid", "paper_no", "weight")
 
 
-def propagate(edges: DataFrame, works: DataFrame, damping: float = 0.97, max_rounds: int = 20) -> DataFrame:
-    """Raise the confidence of (cid, paper_no) to ``damping`` times that of the strongest edge of the
-    same citation with a row of the same paper, until nothing changes. ``works`` gives
-    (paper_no, first_no). Edges that only arise this way are added."""
-    now = stage(edges.join(works, "paper_no"), "edges")
+def propagate(edges: DataFrame, works: DataFrame, cited_in: DataFrame, damping: float = 0.97, max_rounds: int = 20) -> DataFrame:
+    """(cid, paper_no, first_no, confidence) after similarity has spread until nothing changes.
+
+    ``edges`` has cid, paper_no, confidence and the people that both sides name, ``works`` (paper_no,
+    first_no) the rows of each paper, ``cited_in`` (cid, doc) the documents of each citation. An edge of
+    at least ``MIN_CONFIDENCE`` gives ``damping`` times its confidence to the other rows of its paper,
+    which adds edges. One of at least ``BORDER`` gains up to ``LIFT``, by the part of its people of
+    whom another paper is surely cited in one of the same documents. What is kept of a document and
+    a person are the least and the greatest of these papers, whatever their number. Confidence only
+    rises and is bounded, so the rounds end."""
+    now = stage(edges.join(works, "paper_no").withColumn("base", F.col("confidence")), "edges")
     before = None
     for _ in range(max_rounds):
-        top = now.groupBy("cid", "first_no").agg(F.max("confidence").alias("top"))
-        spread = top.join(works, "first_no").select("cid", "paper_no", "first_no", (F.col("top") * damping).alias("confidence"))
-        now = stage(now.unionByName(spread.select(*now.columns)).groupBy("cid", "paper_no", "first_no").agg(F.max("confidence").alias("confidence")), "edges")
-        state = tuple(now.agg(F.count(F.lit(1)), F.round(F.sum("confidence"), 6)).first())
+        sure = now.where(F.col("confidence") >= MIN_CONFIDENCE)
+        state = tuple(now.agg(F.count(F.lit(1)), F.count_if(F.col("confidence") >= MIN_CONFIDENCE), F.round(F.sum("confidence"), 6)).first())
         if state == before:
             break
         before = state
-    return now
-
-
-def link_citations(refs: DataFrame, papers: DataFrame) -> DataFrame:
+        known = sure.select("cid", "first_no", F.explode("people").alias("who")).join(cited_in, "cid").groupBy("doc", "who").agg(F.min("first_no").alias("lo"), F.max("first_no").alias("hi"))
+        open_ = now.where((F.col("base") < MIN_CONFIDENCE) & (F.size("people") > 0)).select("cid", "paper_no", "first_no", "base", F.size("people").alias("n"), F.explode("people").alias("who"))
+        met = open_.join(cited_in, "cid").join(known, ["doc", "who"]).where("lo <> first_no or hi <> first_no")
+        lifted = met.groupBy("cid", "paper_no").agg((F.count_distinct("who") / F.first("n") * LIFT).alias("gain"))
+        now = now.join(lifted, ["cid", "paper_no"], "left").withColumn("confidence", F.greatest("confidence", F.col("base") + F.coalesce("gain", F.lit(0.0)))).drop("gain")
+        top = sure.groupBy("cid", "first_no").agg((F.max("confidence") * damping).alias("confidence"))
+        spread = top.join(works, "first_no").select("cid", "paper_no", "confidence", F.array().cast("array<string>").alias("people"), "first_no", F.lit(0.0).alias("base"))
+        best = F.max(F.struct("base", "people")).alias("b")
+        merged = now.select(*spread.columns).unionByName(spread).groupBy("cid", "paper_no", "first_no").agg(F.max("confidence").alias("confidence"), best)
+        now = stage(merged.select("cid", "paper_no", "confidence", "b.people", "first_no", "b.base"), "edges")
+    return now.where(F.col("confidence") >= MIN_CONFIDENCE).select("cid", "paper_no", "first_no", "confidence")
+
+
+def link_citations(refs: DataFrame, papers: DataFrame, doc_sha: str = "doc_sha") -> DataFrame:
     """(ref_id, paper_no, confidence): for every citation the rows of the paper it cites.
 
-    ``refs`` needs ref_id, title, authors (packed) and year, ``papers`` paper_no, title, authors
+    ``refs`` needs ref_id, title, authors (packed), year and, for what is cited together, if there
+    is such a column, ``doc_sha``; ``papers`` paper_no, title, authors
     and year. Equal citations are compared once. If several papers come close, the best one
     wins; if the two best are equally good, the citation stays unlinked. NULL titles, authors or
     years simply say nothing; a citation with neither title nor authors, and one that agrees
@@ -278,7 +324,8 @@ def link_citations(refs: DataFrame, papers: DataFrame) -> DataFrame:
     people = split_packed(refs, "ref_id", "authors", "authors").groupBy("ref_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]).alias("people")
     )
-    cited = refs.select("ref_id", "title", "year").where("ref_id is not null").dropDuplicates(["ref_id"]).join(people, "ref_id", "left").withColumn(
+    doc = F.col(doc_sha).alias("doc") if doc_sha in refs.columns else F.lit(None).cast("string").alias("doc")
+    cited = refs.select("ref_id", "title", "year", doc).where("ref_id is not null").dropDuplicates(["ref_id"]).join(people, "ref_id", "left").withColumn(
         "people", F.coalesce("people", F.array().cast("array<string>"))
     )
     cited = stage(cited.withColumn("k", F.sha2(F.to_json(F.struct("title", "people", "year")), 256)), "cited")
@@ -290,14 +337,16 @@ def link_citations(refs: DataFrame, papers: DataFrame) -> DataFrame:
     def fitting(some: DataFrame, every: bool) -> DataFrame:
         edges = stage(candidate_graph(some, rows, keys, every), "graph")
         full = edges.join(some, "cid").join(offers, "paper_no").select("cid", "paper_no", "title", "people", "year", "p_title", "p_people", "p_year")
-        return stage(full.mapInPandas(_score, "cid long, paper_no long, confidence double").where(F.col("confidence") >= MIN_CONFIDENCE), "fitting")
+        return stage(full.mapInPandas(_score, "cid long, paper_no long, confidence double, people array<string>"), "fitting")
 
     plain = citations.drop("k")
     fit = fitting(plain, False)
     # dropped edges and keys must not cost a citation its paper
-    fit = fit.unionByName(fitting(stage(plain.join(fit.select("cid").distinct(), "cid", "left_anti"), "left"), True))
+    found = fit.where(F.col("confidence") >= MIN_CONFIDENCE).select("cid").distinct()
+    fit = fit.join(found, "cid", "left_semi").unionByName(fitting(stage(plain.join(found, "cid", "left_anti"), "left"), True))
     works = stage(group_papers(papers), "works")
-    strong = propagate(fit, works)
+    cited_in = stage(cited.join(citations.select("k", "cid"), "k").where("doc is not null").select("cid", "doc").distinct(), "citedin")
+    strong = propagate(fit, works, cited_in)
     per_work = strong.groupBy("cid", "first_no").agg(F.max("confidence").alias("top"))
     w = Window.partitionBy("cid").orderBy(F.desc("top"), "first_no")
     ranked = per_work.withColumn("r", F.row_number().over(w)).withColumn("next", F.lead("top").over(w))
