@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,11 +36,12 @@ MAX_KEY_PAIRS = 50_000
 #: An edge weaker than this part of the citation's strongest is dropped.
 EDGE_SHARE = 0.15
 MIN_CONFIDENCE = 0.6
+SEP = "\u0002"
 #: Edges from this confidence on may be lifted by their neighbours, by so much at most.
 BORDER, LIFT = 0.55, 0.06
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=40_000)
 def title_tokens(title: str | None) -> tuple[str, ...]:
     """The words of a title, folded, with look-alike letters and line-end hyphens undone."""
     if not title:
@@ -142,7 +144,7 @@ def may_agree(r: tuple[str, ...], q: tuple[str, ...]) -> bool:
     forms, starts = _reach(q)
     miss, most = 0, 0.3 * len(r) + 1e-9
     for k, w in enumerate(r):
-        if not (w in starts or not forms.isdisjoint(_word_forms(w)) or k + 1 < len(r) and w + r[k + 1] in forms or k and r[k - 1] + w in forms):
+        if not (w in starts or w in forms or not forms.isdisjoint(_word_forms(w)) or k + 1 < len(r) and w + r[k + 1] in forms or k and r[k - 1] + w in forms):
             miss += 1
             if miss > most:
                 return False
@@ -230,14 +232,24 @@ def _keys(paper: bool, every: bool):
     return run
 
 
-def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares citations with papers, people packed by ``SEP``; only what is to be kept is unpacked."""
+    last, q = None, ()
     for b in batches:
         rows = []
-        for cid, no, t, a, y, pt, pa, py in zip(b["cid"], b["paper_no"], b["title"], b["people"], b["year"], b["p_title"], b["p_people"], b["p_year"]):
-            c = confidence(t, a := list(a), y, pt, pa := list(pa), py)
+        for cid, no, t, a, y, pt, p_people, py in zip(*(c.to_pylist() for c in b.columns)):
+            if pt != last:  # rows come sorted by paper
+                last, q = pt, title_tokens.__wrapped__(pt)
+            r = title_tokens(t)
+            if r and q and not may_agree(r, q):
+                continue
+            mine, theirs = ([x for x in s.split(SEP) if x] for s in (a, p_people))
+            c = confidence(t, mine, y, pt, theirs, py)
             if c >= BORDER:
-                rows.append((cid, no, c, sorted(set(surnames(a)) & set(surnames(pa)))))
-        yield pd.DataFrame(rows, columns=["cid", "paper_no", "confidence", "people"])
+                rows.append((cid, no, c, sorted(set(surnames(mine)) & set(surnames(theirs)))))
+        if rows:
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["cid", "paper_no", "confidence", "people"])
 
 
 def attribute_rows(x: DataFrame, own: str, paper: bool, every: bool = False) -> DataFrame:
@@ -332,12 +344,12 @@ def link_citations(refs: DataFrame, papers: DataFrame, doc_sha: str = "doc_sha")
     citations = stage(cited.groupBy("k").agg(F.min("ref_id").alias("cid"), F.first("title").alias("title"), F.first("people").alias("people"), F.first("year").alias("year")), "citations")
     rows = stage(papers.where("paper_no is not null").select("paper_no", "title", F.coalesce("authors", F.array().cast("array<string>")).alias("people"), "year"), "rows")
     keys = attribute_rows(rows, "paper_no", True)
-    offers = rows.select("paper_no", F.col("title").alias("p_title"), F.col("people").alias("p_people"), F.col("year").alias("p_year"))
+    offers = rows.select("paper_no", F.col("title").alias("p_title"), F.array_join("people", SEP).alias("p_people"), F.col("year").alias("p_year"))
 
     def fitting(some: DataFrame, every: bool) -> DataFrame:
         edges = stage(candidate_graph(some, rows, keys, every), "graph")
-        full = edges.join(some, "cid").join(offers, "paper_no").select("cid", "paper_no", "title", "people", "year", "p_title", "p_people", "p_year")
-        return stage(full.mapInPandas(_score, "cid long, paper_no long, confidence double, people array<string>"), "fitting")
+        full = edges.join(some.withColumn("people", F.array_join("people", SEP)), "cid").join(offers, "paper_no").select("cid", "paper_no", "title", "people", "year", "p_title", "p_people", "p_year")
+        return stage(full.mapInArrow(_score, "cid long, paper_no long, confidence double, people array<string>"), "fitting")
 
     plain = citations.drop("k")
     fit = fitting(plain, False)
