@@ -6,6 +6,7 @@ corpus itself."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql.window import Window
 
 from citeloom.functions import ids, text
 from citeloom.operators import bib, evidence, graph, identify, packed, reconcile, resolve, split, store
-from citeloom.session import stage, table
+from citeloom.plans import pipeline
+from citeloom.session import drop_at_exit, shared_dir, stage, table
 from citeloom.sources import documents as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,28 +82,43 @@ def bib_stops(spark: SparkSession, d: str) -> DataFrame:
     return b.select("o_orderkey", F.regexp_replace("bib_text", r"^References\n|\n$", "").alias("body"))
 
 
+#: Lines with a known answer; # stands for a word of its own.
+HEAD_LINES = (
+    ("Xa#. 2020. Thing", True), ("Group#. (2019) Thing", True), ("Org#. Title here", True), ("Two Org#. Title", True), ("Xa#, A., Poe, B.", True), ("Ann Xa# and Bob", True), ("A. Xa#. Title", True), ("A. B. Xa#, On", True),
+    ("A Xa#. Title", True), ("Jean-Luc Xa#, On", True), ("In Proceedings of #", False), ("of the #", False), ("12 # pages", False), ("(2020) # y", False), ("abc", False), ("Proceedings. Of the #", False),
+    ("Machine Learning Research #", False), ("Learn. Res. #", False), ("arXiv preprint #", False), ("URL Http#", False), ("X#", False), ("Xa# lower case", False), ("Computational Linguistics, #", False), ("The Xa#. 2020.", False),
+)
+
+
 def head_classify(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with a known answer made from orders, and whether each begins a citation."""
+    lines = F.transform(F.array(*[F.lit(x) for x, _ in HEAD_LINES]), lambda x: F.replace(x, F.lit("#"), _letters(F.col("o_orderkey"))))
+    made = table(spark, d, "orders").select("o_orderkey", F.posexplode(lines).alias("line_no", "line"))
+    return made.select("o_orderkey", "line_no", split.is_head(F.col("line")).alias("head"))
+
+
+def head_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Which lines of the citations of the corpus begin one."""
     lines = table(spark, d, "refs").select("ref_id", F.posexplode(F.split("raw", "\n")).alias("line_no", "line"))
     return lines.select("ref_id", "line_no", split.is_head(F.col("line")).alias("head"))
 
 
 def split_bracket(spark: SparkSession, d: str) -> DataFrame:
-    """Numbered bibliographies made of the citations of each document, read back."""
-    refs = table(spark, d, "refs").where("doc_sha is not null")
-    clean = F.regexp_replace(F.col("raw"), r"\[[0-9]{1,4}\]", "")
-    parts = refs.groupBy("doc_sha").agg(F.array_sort(F.collect_list(F.struct("ref_id", F.concat(F.lit("[1] "), clean).alias("raw")))).alias("x"))
-    docs = parts.select("doc_sha", F.concat(F.lit("References\n"), F.array_join(F.transform("x", lambda v: v["raw"]), "\n")).alias("bib_text"))
-    # fewer than eight numbers are read as author-year, where line breaks decide
-    return split.split_bibliography(docs).where("mode = 'bracket'").select("doc_sha", "mode", F.size("entries").cast("long").alias("n"))
+    """Numbered bibliographies made from the lines of each supplier, read back entry by entry."""
+    li = table(spark, d, "lineitem")
+    entry = F.concat(F.lit("["), F.col("l_linenumber"), F.lit("] Xa"), _letters(F.col("l_partkey")), F.lit(", P. On part\n"), F.col("l_orderkey"), F.lit("."))
+    docs = li.groupBy("l_suppkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", entry.alias("e")))), lambda v: v["e"]), "\n").alias("t"))
+    s = split.split_bibliography(docs.select("l_suppkey", F.concat(F.lit("References\n"), "t").alias("bib_text")))
+    return split.citation_rows(s, "l_suppkey", "mode")
 
 
 def split_author(spark: SparkSession, d: str) -> DataFrame:
-    """Author-year bibliographies made from orders and their lines, read back."""
+    """Author-year bibliographies made from orders and their lines, read back entry by entry."""
     li = table(spark, d, "lineitem")
     entry = F.concat(F.lit("Xa"), _letters(F.col("l_partkey")), F.lit(", P. On part "), _letters(F.col("l_partkey")), F.lit(".\nin two lines. Journal, "), (F.lit(1990) + F.col("l_linenumber")).cast("string"), F.lit("."))
     docs = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", entry.alias("e")))), lambda v: v["e"]), "\n").alias("t"))
     s = split.split_bibliography(docs.select("l_orderkey", F.concat(F.lit("References\n"), "t").alias("bib_text")))
-    return s.select("l_orderkey", "mode", F.size("entries").cast("long").alias("n"))
+    return split.citation_rows(s, "l_orderkey", "mode")
 
 
 # ---------------------------------------------------------------- normalisers (D)
@@ -394,6 +411,62 @@ def graph_diff(spark: SparkSession, d: str) -> DataFrame:
     return graph.edge_changes(table(spark, d, "edges"), edges_strong(spark, d))
 
 
+# ---------------------------------------------------------------- the whole run
+
+
+def _made_documents(spark: SparkSession, d: str) -> DataFrame:
+    """A document per customer with orders: stamped front page, bibliography of the parts ordered."""
+    cited = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("c_custkey"), "l_partkey")
+    v = _letters(F.col("l_partkey"))
+    entry = F.concat(F.lit("Xa"), v, F.lit(", P. On part "), v, F.lit(". Journal, 1999. doi: 10.5555/P"), "l_partkey")
+    bibs = cited.groupBy("c_custkey").agg(F.array_join(F.array_sort(F.collect_list(entry)), "\n").alias("b"))
+    w, k = _letters(F.col("c_custkey")), F.col("c_custkey")
+    number = F.concat(F.lit("22"), F.lpad((1 + (k / 100_000).cast("int")).cast("string"), 2, "0"), F.lit("."), F.lpad((k % 100_000).cast("string"), 5, "0"))
+    page = F.concat(F.lit("arXiv:"), number, F.lit("v1 [cs.LG] 1 Jul 2022\nOn the wishes of "), w, F.lit(" and others\nAnn Xa"), w, F.lit(", Bob Xb"), w, F.lit("\nAbstract\nText"))
+    none = F.lit(None).cast("string")
+    made = table(spark, d, "customer").join(bibs, "c_custkey").select("c_custkey", "c_nationkey", page.alias("page1"), F.concat(page, F.lit("\nReferences\n"), "b").alias("text"))
+    return made.select("c_custkey", "c_nationkey", F.sha2("text", 256).alias("sha256"), F.concat(F.lpad(k.cast("string"), 9, "0"), F.lit(".pdf")).alias("filename"), "text", "page1", none.alias("meta_title"), none.alias("meta_author"), none.alias("error"))
+
+
+def _two_runs(spark: SparkSession, d: str) -> tuple[pipeline.Run, store.Store]:
+    """A run over the documents of some nations, then one over all documents."""
+    root = f"{shared_dir(spark)}/citeloom-run-{uuid.uuid4().hex}"
+    drop_at_exit(spark, root)
+    docs, stores = stage(_made_documents(spark, d), "made"), store.Store(spark, root)
+    pipeline.ingest(spark, stores, docs.where("c_nationkey < 12").drop("c_custkey", "c_nationkey"))
+    return pipeline.ingest(spark, stores, docs.drop("c_custkey", "c_nationkey")), stores
+
+
+def run_log(spark: SparkSession, d: str) -> DataFrame:
+    """What the second of two runs did with each document."""
+    run, _ = _two_runs(spark, d)
+    return run.log.select("filename", "action")
+
+
+def run_edges(spark: SparkSession, d: str) -> DataFrame:
+    """The edges after two runs."""
+    return _two_runs(spark, d)[1].read("edges")
+
+
+def run_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics of the second of two runs."""
+    return _two_runs(spark, d)[0].metrics
+
+
+def corpus_run(spark: SparkSession, d: str) -> DataFrame:
+    """A run over all documents of the corpus, their text taken as page and bibliography: what became of
+    each document."""
+    root = f"{shared_dir(spark)}/citeloom-run-{uuid.uuid4().hex}"
+    drop_at_exit(spark, root)
+    none = F.lit(None).cast("string")
+    docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("sha256"), F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".pdf")).alias("filename"), "text", F.col("text").alias("page1"), none.alias("meta_title"), none.alias("meta_author"), none.alias("error"))
+    return pipeline.ingest(spark, store.Store(spark, root), docs.where("text is not null")).log
+
+
+_MADE = """
+made AS (SELECT DISTINCT c_custkey, c_nationkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+lines AS (SELECT count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
+"""
 _NORM = """
 nr AS (SELECT *, regexp_extract(lower(doi), '\\b10\\.[0-9]{4,9}/[-._;()/:a-z0-9]+\\b') AS d0, regexp_extract(lower(arxiv), '([0-9]{4}\\.[0-9]{4,5}|[a-z][a-z0-9.-]+/[0-9]{7})') AS a0 FROM refs),
 np AS (SELECT *, regexp_extract(lower(doi), '\\b10\\.[0-9]{4,9}/[-._;()/:a-z0-9]+\\b') AS d0, regexp_extract(lower(arxiv), '([0-9]{4}\\.[0-9]{4,5}|[a-z][a-z0-9.-]+/[0-9]{7})') AS a0 FROM papers),
@@ -412,19 +485,12 @@ strong_edges AS (
   WHERE m.paper_id IN (SELECT id FROM papers))
 """
 
-_HEADS = (
-    r"(?i)^[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]*(?:19|20)[0-9]{2}[a-z]?(?:$|[^\p{L}\p{N}_])", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]+[A-Z]", r"^[A-Za-z][\p{L}\p{N}_@&''’-]*[\s\p{Z}]+[A-Za-z][\p{L}\p{N}_@&''’-]*\.[\s\p{Z}]+[A-Z]",
-    r"^[A-Z][\p{L}\p{N}_''’-]+,[\s\p{Z}]*[A-Z][.;,]", r"^[A-Z][a-z''’]+(?:-[A-Z][a-z''’]+)*[\s\p{Z}]+[A-Z]", r"^(?:[A-Z]\.[\s\p{Z}]*)+[A-Z][\p{L}\p{N}_''’-]+",
-    r"^[A-Z][\s\p{Z}]+[A-Z][\p{L}\p{N}_''’-]+", r"^[A-Za-z][\p{L}\p{N}_''’-]+\.[\s\p{Z}]*(?:\((?:19|20)[0-9]{2}[a-z]?\)|(?:19|20)[0-9]{2})",
-)
-
-
 def graph_queries() -> dict[str, Query]:
     out = {f.__name__: f for f in (
-        doc_sha_dedup, known_documents, page_text, legacy_refs, bib_heading, bib_section, bib_sidecar, bib_stops, head_classify, split_bracket, split_author,
+        doc_sha_dedup, known_documents, page_text, legacy_refs, bib_heading, bib_section, bib_sidecar, bib_stops, head_classify, head_lines, split_bracket, split_author,
         norm_title, title_keys, norm_doi, norm_arxiv, citation_ids, stamp_dates, author_norm, author_lists, author_compat, paper_ids, identify_documents, identify_stamps,
         reconcile_all, reconcile_registry, reconcile_strong, citation_evidence, evidence_refresh, splitter_migrate, backfill, pending_documents,
-        strong_matches, strong_current, resolve_strong, resolve_stubs, resolve_constructed, anchor_resolve, anchor_constructed, edges_strong, edges_all, prune_orphans, run_metrics, graph_diff,
+        strong_matches, strong_current, resolve_strong, resolve_stubs, resolve_constructed, anchor_resolve, anchor_constructed, edges_strong, edges_all, prune_orphans, run_metrics, graph_diff, run_log, run_edges, run_totals, corpus_run,
     )}
     return out | {f"evidence_{s}": _evidence_query(s) for s in ("year", "quoted", "stop", "organisation")}
 
@@ -440,15 +506,22 @@ def graph_sql() -> dict[str, str]:
         "bib_heading": """SELECT doc_id, nullif(regexp_extract(text, '(?im)^\\s*(References|Bibliography)\\s*:?\\s*$', 1), '') AS heading,
   CASE WHEN regexp_matches(text, '(?im)^\\s*(References|Bibliography)\\s*:?\\s*$') THEN NULL ELSE 'no_references' END AS error FROM documents""",
         "bib_stops": f"SELECT o_orderkey, 'Smith, J. Order ' || {order} || '. 1999.' || chr(10) || 'Jones, K. Another one. 2001.' AS body FROM orders",
-        "head_classify": f"""WITH l AS (SELECT ref_id, unnest(string_split(raw, chr(10))) AS line, generate_subscripts(string_split(raw, chr(10)), 1) - 1 AS line_no FROM refs),
-t AS (SELECT *, regexp_replace(line, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS t FROM l),
-w AS (SELECT *, regexp_extract(t, '^[A-Za-z][\\p{{L}}\\p{{N}}_@&''’-]*') AS w FROM t)
-SELECT ref_id, CAST(line_no AS INTEGER) AS line_no, length(t) >= 4 AND w <> '' AND w NOT IN ({', '.join(f"'{x}'" for x in split.NOT_FIRST)})
-  AND NOT regexp_matches(t, '^\\p{{Ll}}') AND NOT regexp_matches(t, '(?i)^(?:{'|'.join(split.CONTINUATIONS)})')
-  AND ({' OR '.join(f"regexp_matches(t, '{h}')" for h in _HEADS)}) AS head FROM w""",
-        "split_bracket": """WITH b AS (SELECT doc_sha, count(*) AS n, count(*) >= 8 AS numbered FROM refs WHERE doc_sha IS NOT NULL GROUP BY 1)
-SELECT doc_sha, 'bracket' AS mode, n FROM b WHERE numbered""",
-        "split_author": "SELECT l_orderkey, 'author' AS mode, count(*) AS n FROM lineitem GROUP BY 1",
+        "bib_section": r"""WITH h AS (SELECT doc_id, CASE WHEN regexp_matches(text, '(?im)^\s*(References|Bibliography)\s*:?\s*$') THEN
+    regexp_replace(regexp_extract(text, '(?ims)(^\s*(References|Bibliography)\s*:?\s*$.*)'), '^\s+', '') END AS t FROM documents),
+l AS (SELECT doc_id, t, string_split(t, chr(10)) AS l FROM h),
+s AS (SELECT doc_id, t, l, list_filter(range(1, len(l) + 1), lambda i: regexp_matches(l[i], '(?i)^[ \t•]*(?:[A-Z]\.\s*|[A-Z]\s+)?(?:Appendices|Supplementary Material|Supplemental Material|Appendix)\b')
+  OR regexp_matches(l[i], '(?i)^[ \t•]*S[ \t]+SUPPLEMENT[ \t]*$') OR regexp_matches(l[i], '(?i)^[ \t]*CONTENTS[ \t]*$')
+  OR (regexp_matches(l[i], '^[ \t•]*[A-L](?:\.\s+|\s+)[A-Z]') AND coalesce(regexp_matches(l[i + 1], '^[ \t•]*[A-Z0-9]'), false) AND NOT regexp_matches(l[i], '\b(?:19|20)[0-9]{2}\b')
+    AND NOT regexp_matches(l[i], '\bIn[ \t]*$') AND NOT regexp_matches(l[i], '[.,:;][ \t]*$') AND NOT regexp_matches(l[i + 1], '(?i)\bproceedings\b')
+    AND (NOT regexp_matches(regexp_replace(l[i], '^[ \t•]*[A-L]\.?[ \t]+', ''), '[.,:;]') OR NOT regexp_matches(regexp_replace(l[i], '^[ \t•]*[A-L]\.?[ \t]+', ''), '[a-z.]'))
+    AND length(regexp_replace(l[i], '^[ \t•]*[A-L]\.?[ \t]+', '')) BETWEEN 4 AND 120)) AS stops FROM l),
+b AS (SELECT doc_id, CASE WHEN len(stops) > 0 THEN array_to_string(l[1 : stops[1] - 1], chr(10)) || chr(10) ELSE t END AS b FROM s)
+SELECT doc_id, CAST(length(b) AS INTEGER) AS chars, sha256(b) AS sha256 FROM b""",
+        "head_classify": "SELECT o_orderkey, CAST(line_no AS INTEGER) AS line_no, head FROM orders, (VALUES " + ", ".join(f"({k}, {str(h).lower()})" for k, (_, h) in enumerate(HEAD_LINES)) + ") AS t(line_no, head)",
+        "split_bracket": f"""SELECT l_suppkey, 'bracket' AS mode, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS INTEGER) AS index,
+  'Xa' || {_SQL_LETTERS.format("l_partkey")} || ', P. On part' || chr(10) || l_orderkey || '.' AS raw FROM lineitem""",
+        "split_author": f"""SELECT l_orderkey, 'author' AS mode, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS index,
+  'Xa' || {_SQL_LETTERS.format("l_partkey")} || ', P. On part ' || {_SQL_LETTERS.format("l_partkey")} || '. in two lines. Journal, ' || (1990 + l_linenumber) || '.' AS raw FROM lineitem""",
         "norm_title": "SELECT p_partkey, 'the ' || lower(p_name) || ' ' || lower(p_type) || ' v1.5 - ' || lower(p_brand) AS title_norm FROM part",
         "norm_doi": "SELECT paper_no, nullif(regexp_extract(lower(doi), '\\b10\\.[0-9]{4,9}/[-._;()/:a-z0-9]+\\b'), '') AS doi FROM papers",
         "norm_arxiv": """WITH x AS (SELECT paper_no, nullif(regexp_extract(lower(arxiv), '([0-9]{4}\\.[0-9]{4,5}|[a-z][a-z0-9.-]+/[0-9]{7})(v[0-9]+)?', 1), '') AS base,
@@ -484,6 +557,12 @@ SELECT n AS n_candidates, count(*) AS n_refs FROM r JOIN part ON l_partkey = p_p
         "run_metrics": """SELECT count(*) AS total_refs, count(*) FILTER (resolved_via = 'doi') AS doi_resolved, count(*) FILTER (resolved_via = 'arxiv') AS arxiv_resolved,
   count(*) FILTER (resolved_via = 'title_authors_anchor') AS title_authors_resolved, count(*) FILTER (resolved_via IS NULL OR resolved_via NOT IN ('doi', 'arxiv', 'title_authors_anchor')) AS unresolved,
   (SELECT count(DISTINCT doc_sha) FROM manifest) AS documents, (SELECT count(*) FROM papers) AS papers, (SELECT count(*) FROM (SELECT DISTINCT * FROM edges)) AS edges FROM refs""",
+        "run_log": f"WITH {_MADE} SELECT DISTINCT lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '.pdf' AS filename, CASE WHEN c_nationkey < 12 THEN 'skip' ELSE 'new' END AS action FROM made",
+        "run_edges": f"""WITH {_MADE} SELECT 'arxiv:22' || lpad(CAST(1 + c_custkey // 100000 AS VARCHAR), 2, '0') || '.' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS from_id,
+  'doi:10.5555/p' || l_partkey AS to_id FROM made""",
+        "run_totals": f"""WITH {_MADE} SELECT (SELECT n FROM lines) AS total_refs, (SELECT n FROM lines) AS doi_resolved, CAST(0 AS BIGINT) AS arxiv_resolved, CAST(0 AS BIGINT) AS title_authors_resolved, CAST(0 AS BIGINT) AS unresolved,
+  count(DISTINCT c_custkey) AS documents, count(DISTINCT c_custkey) + count(DISTINCT l_partkey) AS papers, count(*) AS edges,
+  CAST(0 AS BIGINT) AS fallback_unique, CAST(0 AS BIGINT) AS fallback_ambiguous, CAST(0 AS BIGINT) AS fallback_no_match, CAST(0 AS BIGINT) AS fallback_incomplete FROM made""",
         "graph_diff": f"""WITH {_NORM}, old AS (SELECT DISTINCT from_id, to_id FROM edges)
 SELECT *, 'added' AS change FROM (SELECT * FROM strong_edges EXCEPT SELECT * FROM old) UNION ALL SELECT *, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM strong_edges)""",
     } | {f"evidence_{s}": _evidence_sql(s) for s in ("year", "quoted", "stop", "organisation")}
