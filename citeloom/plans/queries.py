@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.operators.packed import split_packed
+from citeloom.plans.case_queries import case_queries, case_sql
 from citeloom.plans.graph_queries import graph_queries, graph_sql
 from citeloom.session import table
 
@@ -30,8 +31,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def core_queries() -> dict[str, Query]:
-    return {"p6_split": p6_split, "p6_found": p6_found} | graph_queries()
+    return {"p6_split": p6_split, "p6_found": p6_found} | graph_queries() | case_queries()
 
 
 def core_sql() -> dict[str, str]:
-    return graph_sql()
+    return graph_sql() | case_sql()

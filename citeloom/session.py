@@ -59,7 +59,7 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
-    Cuts the lineage and survives the loss of executors; column pruning and filters reach the
+    Cuts the plan history and survives the loss of executors; column pruning and filters reach the
     staged parquet files. The files are removed when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom-{label}-{uuid.uuid4().hex}"
