@@ -158,6 +158,25 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return shared_shares(table(spark, d, "documents"))
 
 
+_NEAR = """
+w AS (SELECT doc_id, batch_no, text, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE batch_no IS NOT NULL),
+texts AS (SELECT array_to_string(w, ' ') AS t, arg_min(doc_id, (batch_no, doc_id)) AS rep, any_value(w) AS w FROM w WHERE len(w) > 2 GROUP BY 1),
+g AS (SELECT DISTINCT rep, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT rep, w, unnest(range(1, len(w) - 1)) AS i FROM texts)),
+n AS (SELECT rep, count(*) AS n FROM g GROUP BY ALL),
+shared AS (SELECT a.rep AS a, b.rep AS b, count(*) AS c FROM g a JOIN g b USING (g) WHERE a.rep <> b.rep GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON a = x.rep JOIN n y ON b = y.rep WHERE c * 2 >= x.n + y.n - c),
+members AS (SELECT doc_id, batch_no, rep FROM w JOIN texts ON array_to_string(w.w, ' ') = t)
+"""
+_SPANS = """
+d AS (SELECT doc_id, text, unnest(range(1, greatest(length(text) - 298, 1))) AS i FROM documents WHERE text IS NOT NULL AND length(text) >= 300),
+h AS (SELECT doc_id, i, md5(substr(text, i, 300)) AS h FROM d),
+often AS (SELECT h FROM h GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM h SEMI JOIN often USING (h)),
+run AS (SELECT doc_id, i, count(*) FILTER (gap IS NULL OR gap > 300) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+spans AS (SELECT doc_id, min(i) - 1 AS first, max(i) + 299 AS last FROM run GROUP BY doc_id, run)
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found, "p1_titles": p1_titles,
@@ -184,6 +203,32 @@ n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL),
 shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS c FROM g a JOIN g b USING (g)
   WHERE a.doc_id < b.doc_id AND a.batch_no <> b.batch_no GROUP BY ALL)
 SELECT doc_a, doc_b FROM shared JOIN n x ON doc_a = x.doc_id JOIN n y ON doc_b = y.doc_id WHERE c * 2 >= x.n + y.n - c""",
+        "p4_classes": f"""WITH RECURSIVE {_NEAR},
+reach AS (SELECT rep AS a, rep AS b FROM texts UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+class AS (SELECT a AS rep, min(b) AS class_id FROM reach GROUP BY a), degree AS (SELECT a AS rep, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, class_id, coalesce(n, 0) AS n_links FROM members JOIN class USING (rep) LEFT JOIN degree USING (rep)""",
+        "p4_papers": f"""WITH {_NEAR},
+listed AS (SELECT sha256, min(id) AS listed_id FROM (SELECT id, unnest(documents) AS sha256 FROM papers) GROUP BY 1),
+pairs AS (SELECT a, b FROM links UNION ALL SELECT rep, rep FROM texts),
+old AS (SELECT x.doc_id, y.doc_id AS like_doc, y.batch_no FROM pairs JOIN members x ON x.rep = a JOIN members y ON y.rep = b WHERE y.batch_no < x.batch_no),
+best AS (SELECT doc_id, arg_min(like_doc, (batch_no, like_doc)) AS like_doc FROM old GROUP BY 1)
+SELECT best.doc_id, like_doc, coalesce(paper_id, listed_id) AS paper_id FROM best JOIN documents d ON d.doc_id = like_doc LEFT JOIN listed USING (sha256)""",
+        "p10_found": f"WITH {_SPANS} SELECT DISTINCT doc_id FROM spans",
+        "p10_spans": f"WITH {_SPANS} SELECT doc_id, first, last FROM spans",
+        "p10_shares": f"""WITH {_SPANS} SELECT doc_id, length(text) AS n_chars, CAST(coalesce(s, 0) AS BIGINT) AS shared_chars, round(CASE WHEN length(text) > 0 THEN coalesce(s, 0) / length(text) ELSE 0 END, 6) AS share
+FROM documents LEFT JOIN (SELECT doc_id, sum(last - first) AS s FROM spans GROUP BY 1) USING (doc_id) WHERE text IS NOT NULL""",
+        "p8_leaks": """
+WITH x AS (SELECT doc_id, regexp_extract_all(text, '[\\p{L}\\p{N}]+') AS w, regexp_extract_all(text, '[^\\p{L}\\p{N}]+') AS g, length(regexp_extract(text, '^[^\\p{L}\\p{N}]*')) AS pre FROM documents),
+p AS (SELECT doc_id, k, w, length(w[k]) AS n, pre + coalesce(sum(length(w[k]) + coalesce(length(g[k + CASE WHEN pre > 0 THEN 1 ELSE 0 END]), 0)) OVER
+  (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM x)),
+dg AS (SELECT doc_id, k, lower(array_to_string(w[k : k + 12], ' ')) AS t FROM p WHERE k + 12 <= len(w)),
+iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 12], ' ') AS t FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS i FROM iw)),
+hit AS (SELECT doc_id, item_id, k, k - lag(k) OVER (PARTITION BY doc_id, item_id ORDER BY k) AS gap FROM dg JOIN ig USING (t)),
+run AS (SELECT *, count(*) FILTER (gap IS NULL OR gap > 13) OVER (PARTITION BY doc_id, item_id ORDER BY k) AS run FROM hit),
+spans AS (SELECT doc_id, item_id, min(k) AS a, max(k) + 12 AS b FROM run GROUP BY doc_id, item_id, run)
+SELECT s.doc_id, item_id, CAST(b - a + 1 AS INTEGER) AS words, CAST(x.first AS BIGINT) AS first_char, CAST(y.first + y.n AS BIGINT) AS last_char
+FROM spans s JOIN p x ON x.doc_id = s.doc_id AND x.k = a JOIN p y ON y.doc_id = s.doc_id AND y.k = b""",
         "p8_found": """
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
