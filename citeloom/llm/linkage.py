@@ -203,9 +203,9 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
     gap = abs(y - z) if y and z else None
     near = 0.0 if gap is None else 0.1 if gap == 0 else 0.03 if gap == 1 else -0.12
     if not r or not q:
-        a = author_agreement(authors, p_authors)
         # authors and year alone: all of several people and the very year
-        return 0.62 if a == 1.0 and len(authors) >= 2 and len(authors) == len(p_authors) and gap == 0 else 0.0
+        enough = gap == 0 and len(authors) >= 2 and len(authors) == len(p_authors)
+        return 0.62 if enough and author_agreement(authors, p_authors) == 1.0 else 0.0
     if not may_agree(r, q):
         return 0.0
     cr, cq = title_agreement(r, q)
@@ -213,12 +213,14 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
     series_r, series_q = ({w for w in s if w in SERIES_WORDS} for s in (r, q))
     if cr < 0.7 or (cr < 0.8 and cq < 0.8) or sum(w not in STOP_WORDS for w in r) < 2 and cq < 0.6:
         return 0.0
-    a = author_agreement(authors, p_authors)
     score = 0.35 * cr + 0.25 * cq + near
     if cut or cq < 0.75:
         score += 0.12 * (1 - cq)  # words cut off say little
     if series_r != series_q:
         score -= 0.25 if series_r - series_q or not (cut or cq < 0.7) else 0.1
+    if score + 0.35 < BORDER:
+        return 0.0  # whatever the authors are
+    a = author_agreement(authors, p_authors)
     score += 0.15 if a is None else 0.35 * a if a >= 0.5 else -0.3
     return max(0.0, min(1.0, score))
 
