@@ -454,12 +454,12 @@ def run_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def corpus_run(spark: SparkSession, d: str) -> DataFrame:
-    """A run over all documents of the corpus, their text taken as page and bibliography: what became of
-    each document."""
+    """A run over all documents of the corpus, what stands before the bibliography taken as first page: what
+    became of each document."""
     root = f"{shared_dir(spark)}/citeloom-run-{uuid.uuid4().hex}"
     drop_at_exit(spark, root)
     none = F.lit(None).cast("string")
-    docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("sha256"), F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".pdf")).alias("filename"), "text", F.col("text").alias("page1"), none.alias("meta_title"), none.alias("meta_author"), none.alias("error"))
+    docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("sha256"), F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".pdf")).alias("filename"), "text", pipeline.front_of(F.col("text")).alias("page1"), none.alias("meta_title"), none.alias("meta_author"), none.alias("error"))
     return pipeline.ingest(spark, store.Store(spark, root), docs.where("text is not null")).log
 
 
@@ -498,7 +498,7 @@ def graph_queries() -> dict[str, Query]:
 def graph_sql() -> dict[str, str]:
     cust, supp = _SQL_LETTERS.format("c_custkey"), _SQL_LETTERS.format("s_suppkey")
     order = _SQL_LETTERS.format("o_orderkey")
-    return {
+    out = {
         "doc_sha_dedup": "SELECT sha256(text) AS sha256, min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY 1",
         "known_documents": "SELECT doc_id, sha256 FROM documents WHERE sha256 NOT IN (SELECT doc_sha FROM manifest WHERE paper_id IS NOT NULL AND doc_sha IS NOT NULL)",
         "page_text": "SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL",
@@ -566,3 +566,7 @@ SELECT n AS n_candidates, count(*) AS n_refs FROM r JOIN part ON l_partkey = p_p
         "graph_diff": f"""WITH {_NORM}, old AS (SELECT DISTINCT from_id, to_id FROM edges)
 SELECT *, 'added' AS change FROM (SELECT * FROM strong_edges EXCEPT SELECT * FROM old) UNION ALL SELECT *, 'removed' FROM (SELECT * FROM old EXCEPT SELECT * FROM strong_edges)""",
     } | {f"evidence_{s}": _evidence_sql(s) for s in ("year", "quoted", "stop", "organisation")}
+    out["bib_sidecar"] = out["bib_section"].rpartition("\nSELECT")[0] + """
+SELECT CAST(doc_id AS VARCHAR) AS filename, CASE WHEN b IS NULL THEN 'FAIL ' || doc_id || ' | no References/Bibliography heading found'
+  ELSE 'OK   ' || doc_id || ' | heading=' || regexp_extract(b, '^[A-Za-z]+') || ' | chars=' || length(b) || ' | out=' || doc_id || '.references.txt' END AS status FROM b"""
+    return out

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.operators.store import Store
+from citeloom.plans.pipeline import front_of, ingest
+
 
 def stream_texts(spark: SparkSession, folder: str, checkpoint: str, handle: Callable[[DataFrame, int], None], schema: str = "filename string, text string") -> None:
     """Pass every parquet file of documents in ``folder`` that no earlier run saw to ``handle``, in
@@ -18,3 +21,15 @@ def stream_texts(spark: SparkSession, folder: str, checkpoint: str, handle: Call
         .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     q.awaitTermination()
+
+
+def stream_into(spark: SparkSession, folder: str, checkpoint: str, stores: Store) -> None:
+    """Run the pipeline over every new parquet file of documents (filename, text) in ``folder``. What
+    stands before the bibliography is taken as first page. A micro-batch that is delivered again changes nothing, since
+    documents are known by their content."""
+
+    def handle(docs: DataFrame, _: int) -> None:
+        none = F.lit(None).cast("string")
+        ingest(spark, stores, docs.select("sha256", "filename", "text", front_of(F.col("text")).alias("page1"), none.alias("meta_title"), none.alias("meta_author"), none.alias("error")))
+
+    stream_texts(spark, folder, checkpoint, handle)
