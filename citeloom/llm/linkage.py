@@ -12,7 +12,8 @@ the same authors, which may make its own neighbours sure in turn."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from functools import lru_cache
 
 import pandas as pd
@@ -31,8 +32,13 @@ from citeloom.session import small_side, stage
 STOP_WORDS = frozenset("a an and are as at between by for from how in into is its of on or that the their to towards under via view with without study lessons".split())
 #: Words that set one part of a series apart from another (fixed values).
 SERIES_WORDS = frozenset("part volume vol sequel ii iii iv two three four second third 2 3 4".split())
-#: A key with more pairs than this is refined by a second attribute (see ``refinements``).
+#: A key with more pairs than this is refined by a second attribute (see ``citation_tokens``).
 MAX_KEY_PAIRS = 50_000
+#: So is a key that more papers have than this: the others give each citation so many pairs at most,
+#: however large the tables are.
+MAX_KEY_ROWS = 64
+#: The most frequent words of the papers, by which citations choose rare ones; it decides nothing else.
+COMMON_WORDS = 20_000
 #: An edge weaker than this part of the citation's strongest is dropped.
 EDGE_SHARE = 0.15
 MIN_CONFIDENCE = 0.6
@@ -98,27 +104,77 @@ def attribute_keys(title: str | None, authors: list[str], year: str | None, pape
     return keys
 
 
-def refinements(title: str | None, authors: list[str], year: str | None, paper: bool) -> set[str]:
-    """The second attributes that divide a very frequent key. A citation and a paper that
-    ``confidence`` can link share one: a form of a title word (whole, one letter off, short for
-    it, or torn in two), or, if one of them has no title, the year with the number of authors."""
-    words, y = title_tokens(title), year_of(year)
-    some = words if paper or 10 * sum(w not in STOP_WORDS for w in words) <= 3 * len(words) else [w for w in words if w not in STOP_WORDS]
-    out = {f"f{v}" for w in some for v in _forms(w)}
-    if paper:
-        out |= {f"a{w[:k]}" for w in words for k in range(3, len(w) - 1)}
-    else:
-        out |= {f"a{w}" for w in some if len(w) > 2} | {f"f{v}{w}" for v, w in zip(words, words[1:])}
-    if y and len(authors) > 1:
-        out |= {f"{side}{y}|{len(authors)}" for side in "cp" if not words or side == ("c" if paper else "p")}
+def key_hash(key: str) -> int:
+    return int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _untitled(words: tuple[str, ...], authors: list[str], year: str | None, paper: bool) -> set[str]:
+    """What a citation and a paper share that ``confidence`` can link though one of them has no title."""
+    y = year_of(year)
+    return {f"n{side}{y}|{len(authors)}" for side in "cp" if not words or side == ("c" if paper else "p")} if y and len(authors) > 1 else set()
+
+
+def paper_tokens(title: str | None, authors: list[str], year: str | None) -> set[str]:
+    """The second attributes of a paper: its title words, and what it shares with citations if one of them has no
+    title; the empty token is for citations that refine nothing."""
+    words = title_tokens(title)
+    return {f"w{w}" for w in words} | _untitled(words, authors, year, True) | {""}
+
+
+def citation_tokens(key: str, title: str | None, authors: list[str], year: str | None, common: dict[str, int]) -> set[str]:
+    """The second attributes by which a citation divides a very frequent key: words of its title, and these joined
+    with their neighbours.
+
+    At most 0.3 of the words may lack a partner in a paper's title (``may_agree``), so one more than that,
+    whichever they are, hold one that has a partner. The rarest are taken, without the words that the key
+    itself names. If there are not enough words besides, the key is not divided."""
+    words = title_tokens(title)
+    out = _untitled(words, authors, year, False)
+    if not words:
+        return out
+    places, need = list(range(len(words))), int(0.3 * len(words) + 1e-9) + 1
+    for w in key[1:].split("|") if key[0] in "tb" else ():
+        places.remove(next(k for k in places if words[k] == w))
+    if len(places) < need:
+        return {""}
+    places.sort(key=lambda k: (max(common.get(f, 0) for f in _word_forms(words[k])), k))
+    for k in places[:need]:
+        out |= {f"w{words[k]}", *(f"j{a}{b}" for a, b in zip(words[max(0, k - 1) : k + 1], words[max(0, k - 1) + 1 : k + 2]))}
     return out
 
 
-def _refine(paper: bool):
+def probes(token: str, paper: bool) -> set[str]:
+    """What the tokens of a citation and a paper share if one word may be the partner of the other."""
+    kind, word = token[:1], token[1:]
+    if kind != "w":
+        return {f"f{word}"} if kind == "j" else set()
+    return {f"f{f}" for f in _word_forms(word)} | ({f"a{word[:k]}" for k in range(3, len(word) + 1)} if paper else {f"a{word}"})
+
+
+def _paper_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = [(i, list(paper_tokens(t, list(a), y))) for i, t, a, y in zip(b["paper_no"], b["title"], b["people"], b["year"])]
+        yield pd.DataFrame(rows, columns=["paper_no", "tokens"])
+
+
+def _citation_tokens(every: bool, common: dict[str, int]) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, list(refinements(t, list(a), y, paper))) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"])]
-            yield pd.DataFrame(rows, columns=["id", "more"])
+            rows = []
+            for i, t, a, y, wide in zip(b["cid"], b["title"], b["people"], b["year"], b["wide"]):
+                wide, a = set(wide), list(a)
+                for k in attribute_keys(t, a, y, False, every):
+                    if (h := key_hash(k)) in wide:
+                        rows.append((h, i, list(citation_tokens(k, t, a, y, common))))
+            yield pd.DataFrame(rows, columns=["key", "cid", "tokens"])
+
+    return run
+
+
+def _probes(paper: bool) -> Callable:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(t, p) for t in b["token"] for p in probes(t, paper)], columns=["token", "probe"])
 
     return run
 
@@ -228,7 +284,7 @@ def confidence(title: str | None, authors: list[str], year: str | None, p_title:
 def _keys(paper: bool, every: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, i) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"]) for k in attribute_keys(t, list(a), y, paper, every)]
+            rows = [(key_hash(k), i) for i, t, a, y in zip(b["id"], b["title"], b["people"], b["year"]) for k in attribute_keys(t, list(a), y, paper, every)]
             yield pd.DataFrame(rows, columns=["key", "id"])
 
     return run
@@ -256,36 +312,49 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def attribute_rows(x: DataFrame, own: str, paper: bool, every: bool = False) -> DataFrame:
     """(key, ``own``): the hashed blocking keys of citations or papers."""
-    rows = x.select(F.col(own).alias("id"), "title", "people", "year").mapInPandas(_keys(paper, every), "key string, id long")
-    return stage(rows.select(F.xxhash64("key").alias("key"), F.col("id").alias(own)), "keys")
+    rows = x.select(F.col(own).alias("id"), "title", "people", "year").mapInPandas(_keys(paper, every), "key long, id long")
+    return stage(rows.select("key", F.col("id").alias(own)), "keys")
+
+
+def refined_pairs(citations: DataFrame, papers: DataFrame, c: DataFrame, p: DataFrame, every: bool) -> DataFrame:
+    """(key, cid, paper_no, worth): the pairs of the keys ``c`` and ``p``, all of them too frequent, that share a
+    second attribute as well. Words are brought together once each, not once for every title."""
+    held = stage(p, "wide")
+    own = stage(papers.join(held.select("paper_no").distinct(), "paper_no", "left_semi").mapInPandas(_paper_tokens, "paper_no long, tokens array<string>"), "tokens")
+    words = stage(own.select(F.explode("tokens").alias("token")).where("token like 'w%'").groupBy("token").agg(F.count(F.lit(1)).alias("n")), "words")
+    common: dict[str, int] = {}
+    for token, n in words.orderBy(F.desc("n"), "token").limit(COMMON_WORDS).collect():
+        for f in _forms(token[1:]):
+            common[f] = max(n, common.get(f, 0))
+    some = citations.join(c.groupBy("cid").agg(F.collect_list("key").alias("wide")), "cid").select("cid", "title", "people", "year", "wide")
+    wanted = stage(some.mapInPandas(_citation_tokens(every, common), "key long, cid long, tokens array<string>").select("key", "cid", F.explode("tokens").alias("token")), "wanted")
+    offered = words.select("token").mapInPandas(_probes(True), "token string, probe string").withColumnRenamed("token", "word")
+    asked = wanted.select("token").where("token like 'w%' or token like 'j%'").distinct().mapInPandas(_probes(False), "token string, probe string")
+    partners = stage(asked.join(offered, "probe").select("token", "word").distinct(), "partners")
+    fine = F.xxhash64("key", "word").alias("fine")
+    left = wanted.join(partners, "token").unionByName(wanted.where("token = '' or token like 'n%'").withColumn("word", F.col("token"))).select(fine, "cid").distinct()
+    rp = stage(held.join(own, "paper_no").select("key", "paper_no", F.explode("tokens").alias("word")).select("key", fine, "paper_no"), "refined")
+    worth = rp.groupBy("fine").agg((F.lit(1.0) / F.count(F.lit(1))).alias("worth"))
+    return left.join(rp.join(worth, "fine"), "fine").groupBy("key", "cid", "paper_no").agg(F.max("worth").alias("worth"))
 
 
 def candidate_graph(citations: DataFrame, papers: DataFrame, p: DataFrame, every: bool = False) -> DataFrame:
     """(cid, paper_no, weight): pairs that share a key, weighted by the rarity of the keys they
     share, without the edges that are weak for their citation. With ``every``, citations use all
-    keys and keep all edges. ``p`` holds the keys of the papers. Keys with too many pairs are
+    keys and keep all edges. ``p`` holds the keys of the papers. Keys with too many pairs or papers are
     refined by a second attribute, and are worth what the rarest refined key is."""
     c = attribute_rows(citations, "cid", False, every)
     nc = c.groupBy("key").agg(F.count(F.lit(1)).alias("nc"))
     np_ = p.groupBy("key").agg(F.count(F.lit(1)).alias("np"))
     sizes = stage(nc.join(np_, "key").select("key", "np", (F.col("nc") * F.col("np")).alias("pairs")), "sizes")
-    fine = sizes.where(F.col("pairs") <= MAX_KEY_PAIRS).select("key", (F.lit(1.0) / F.col("np")).alias("worth"))
+    wide = (F.col("pairs") > MAX_KEY_PAIRS) | (F.col("np") > MAX_KEY_ROWS)
+    fine = sizes.where(~wide).select("key", (F.lit(1.0) / F.col("np")).alias("worth"))
     pairs = p.join(fine, "key").join(c, "key").select("cid", "paper_no", "worth")
-    wide = sizes.where(F.col("pairs") > MAX_KEY_PAIRS).select("key")
+    wide = sizes.where(wide).select("key")
     if wide.limit(1).count():
         wide = small_side(wide)
-
-        def refined(x: DataFrame, rows: DataFrame, own: str, paper: bool) -> DataFrame:
-            x = stage(x.join(wide, "key"), "wide")
-            some = rows.join(x.select(own).distinct(), own, "left_semi").select(F.col(own).alias("id"), "title", "people", "year")
-            more = some.mapInPandas(_refine(paper), "id long, more array<string>").withColumnRenamed("id", own)
-            return x.join(more, own).select("key", F.explode("more").alias("w"), own).select("key", F.xxhash64("key", "w").alias("fine"), own)
-
-        rp = stage(refined(p, papers, "paper_no", True), "refined")
-        worth = rp.groupBy("fine").agg((F.lit(1.0) / F.count(F.lit(1))).alias("worth"))
-        more = refined(c, citations, "cid", False).drop("key").join(rp.join(worth, "fine"), "fine")
-        more = more.groupBy("key", "cid", "paper_no").agg(F.max("worth").alias("worth")).select("cid", "paper_no", "worth")
-        pairs = pairs.unionByName(more)
+        more = refined_pairs(citations, papers, c.join(wide, "key"), p.join(wide, "key"), every)
+        pairs = pairs.unionByName(more.select("cid", "paper_no", "worth"))
     # one shuffle by citation serves both the sum and the pruning
     edges = pairs.repartition("cid").groupBy("cid", "paper_no").agg(F.sum("worth").alias("weight"))
     if every:

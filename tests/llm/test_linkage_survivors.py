@@ -94,6 +94,16 @@ def test_refined_keys_lose_no_link(spark, monkeypatch):
     assert {(x["ref_id"], x["paper_no"]) for x in link_citations(r, papers).collect()} == {(1, 1), (2, 1), (3, 2)}
 
 
+def test_frequent_bigrams_do_not_pair_all(spark):
+    syllables = ["bo", "cu", "di", "fa", "ge", "hi", "ko", "lu", "me", "ni"]
+    words = [syllables[k // 10] * 2 + syllables[k % 10] * 2 for k in range(100)]
+    rows = spark.createDataFrame([(k, f"Long range {w} {w[::-1]}", [], None) for k, w in enumerate(words)], "id long, title string, people array<string>, year string")
+    papers, citations = rows.withColumnRenamed("id", "paper_no"), rows.withColumnRenamed("id", "cid")
+    keys = linkage.attribute_rows(papers, "paper_no", True)
+    edges = linkage.candidate_graph(citations, papers, keys, True).select("cid", "paper_no").collect()
+    assert {(k, k) for k in range(100)} <= {tuple(e) for e in edges} and len(edges) < 200  # of 10,000
+
+
 def test_scores():
     assert title_tokens("Los-\nt Cаnopies, 2nd") == ("lost", "canopies", "2nd")
     full = confidence("A canopy of cells", ["A. Leemann"], "2001", "A Canopy of Cells", ["Annabel Leemann"], "2001")
