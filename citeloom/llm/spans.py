@@ -294,7 +294,7 @@ def _agreement(x: str, y: str, longest: int) -> Column:
 def leaf_agreements(leaves: DataFrame, min_chars: int) -> DataFrame:
     """(leaf, left, right) of the agreements of at least ``min_chars`` among ``leaves`` (part, leaf, lo,
     hi, before, after), whose partitions are too large for one tree unless cut."""
-    rows, found = leaves, None
+    rows, found = leaves.select("part", "leaf", "lo", "hi", "before", "after"), None  # the trees read by place
     while True:
         sizes = _sizes(rows, "lo", "hi")
         small = rows.join(sizes.where(F.col("n") <= MAX_TREE).select("part"), "part", "left_semi")

@@ -144,3 +144,13 @@ def test_spans_against_brute_force(spark, monkeypatch, cap):
     df = spark.createDataFrame([(*r, 1) for r in rows] + [(70, None, 1), (53, rows[15][1], 1)], "doc_id long, text string, first int")
     assert {tuple(r) for r in spans.shared_spans(df).collect()} == _brute_spans(rows, 300)
     assert spans.shared_spans(df.limit(0)).count() == 0
+
+
+def test_large_partition_of_few_contexts(spark, monkeypatch):
+    monkeypatch.setattr(spans, "MAX_TREE", 4)
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    shared = text(1500)  # more places than a tree holds, with equal contexts
+    rows = [(i, text(50) + shared + text(50)) for i in range(6)]
+    got = {tuple(r) for r in spans.shared_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _brute_spans(rows, 300)
