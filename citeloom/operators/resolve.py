@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.ids import normalize_arxiv, normalize_doi
 from citeloom.operators.reconcile import blocks
-from citeloom.session import stage
+from citeloom.session import small_side, stage
 
 ANCHOR = "title_authors_anchor"
 STRONG = ("doi", "arxiv")
@@ -176,16 +176,24 @@ def _match_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_s": F.transform("authors_norm", lambda x: x["surname"]), "_i": F.transform("authors_norm", lambda x: x["initial"]), "_g": F.transform("authors_norm", lambda x: x["given"])})
 
 
-def anchor_candidates(refs: DataFrame, anchors: DataFrame, key: str = "ref_id") -> DataFrame:
-    """(key, n_candidates, paper_id): how many different papers have an anchor with the same title
-    key and compatible authors, and the least of them.
+def anchor_candidates(refs: DataFrame, anchors: DataFrame, key: str | list[str] = "ref_id") -> DataFrame:
+    """(*key, n_candidates, paper_id): how many different papers have an anchor with the same title
+    key and compatible authors, and the least of them; ``key`` names a citation.
 
     Compatible authors have equal surnames and initials, so these are equi-join keys; only the
-    given names are left to compare. Equal anchors of a paper are joined once."""
+    given names are left to compare. Each way in which citations write a title and its authors meets
+    the anchors once, not each citation: a title with many anchors and many citations costs their
+    sum, not their product."""
+    keys = [key] if isinstance(key, str) else key
+    own = ["title_norm", "_s", "_i", "_g"]
     a = _match_keys(anchors.where(complete_evidence(anchors))).select("title_norm", "_s", "_i", F.col("_g").alias("_ag"), F.col("paper_id").alias("anchor_paper")).distinct()
-    r = _match_keys(refs.where(complete_evidence(refs))).select(key, "title_norm", "_s", "_i", "_g")
+    r = _match_keys(refs.where(complete_evidence(refs))).select(*keys, *own)
     fits = F.forall(F.zip_with("_g", "_ag", lambda x, y: (F.length(x) == 1) | (F.length(y) == 1) | (x == y)), lambda ok: ok)
-    return r.join(a, ["title_norm", "_s", "_i"]).where(fits).groupBy(key).agg(F.count_distinct("anchor_paper").alias("n_candidates"), F.min("anchor_paper").alias("paper_id"))
+    met = r.select(*own).distinct().join(a, ["title_norm", "_s", "_i"]).where(fits).groupBy(*own).agg(F.count_distinct("anchor_paper").alias("n_candidates"), F.min("anchor_paper").alias("paper_id"))
+    met = stage(met.withColumn("_h", F.xxhash64("paper_id")), "met")
+    # one row for a key, also where it is repeated with other evidence; different papers make it ambiguous
+    n = F.when(F.min("_h") != F.max("_h"), F.greatest(F.max("n_candidates"), F.lit(2).cast("long"))).otherwise(F.max("n_candidates"))
+    return r.join(small_side(met), own).groupBy(*keys).agg(n.alias("n_candidates"), F.min("paper_id").alias("paper_id"))
 
 
 def anchor_set(refs: DataFrame, papers: DataFrame, key: str = "ref_id") -> DataFrame:

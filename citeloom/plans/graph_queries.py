@@ -380,11 +380,14 @@ def anchor_constructed(spark: SparkSession, d: str) -> DataFrame:
     author = lambda g: F.array(F.struct(F.lit("smith").alias("surname"), g.alias("given"), F.lit("j").alias("initial")))
     p = table(spark, d, "part")
     anchors = p.select(F.concat(F.lit("doi:"), "p_partkey").alias("paper_id"), F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), "p_size").alias("title_norm"), author(F.lit("john")).alias("authors_norm"), F.lit(True).alias("authors_complete"))
-    refs = table(spark, d, "lineitem").join(p, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat_ws("/", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias("ref_id"), F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), "p_size").alias("title_norm"),
+    own = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
+    # distinct after the join, whose partitions by part already hold equal rows together
+    lines = table(spark, d, "lineitem").select(*own).join(p.select("p_partkey", "p_brand", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey")).distinct()
+    refs = lines.select(
+        *own, F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), "p_size").alias("title_norm"),
         author(F.when(F.col("l_linenumber") % 2 == 0, F.lit("j")).when(F.col("l_linenumber") % 3 == 0, F.lit("joseph")).otherwise(F.lit("john"))).alias("authors_norm"), F.lit(True).alias("authors_complete"),
-    ).dropDuplicates(["ref_id"])
-    c = resolve.anchor_candidates(refs, anchors)
+    )
+    c = resolve.anchor_candidates(refs, anchors, own)
     return c.groupBy("n_candidates").agg(F.count(F.lit(1)).alias("n_refs"))
 
 

@@ -207,3 +207,19 @@ def test_hot_split_join(spark):
     got = hot_split_join(big, groups, "k", "n").groupBy("k").count().collect()
     want = big.where("k is not null").groupBy("k").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_anchors_of_one_title_meet_each_way_of_writing_once(spark):
+    """Citations named by several columns; 500 of one title and 40 papers are no 20,000 pairs."""
+    refs = spark.createDataFrame([("a", i, "t", _names("john" if i % 2 else "j"), True) for i in range(500)], "doc string, ref int, title_norm string, authors_norm array<struct<surname:string,given:string,initial:string>>, authors_complete boolean")
+    anchors = spark.createDataFrame([(f"p{i}", "t", _names("john" if i % 4 else "joseph"), True) for i in range(40)], "paper_id string, title_norm string, authors_norm array<struct<surname:string,given:string,initial:string>>, authors_complete boolean")
+    got = {(r["doc"], r["ref"]): (r["n_candidates"], r["paper_id"]) for r in resolve.anchor_candidates(refs, anchors, ["doc", "ref"]).collect()}
+    assert got == {("a", i): (30, "p1") if i % 2 else (40, "p0") for i in range(500)}
+
+
+def test_a_repeated_key_with_other_evidence_has_one_row(spark):
+    row = "ref_id int, title_norm string, authors_norm array<struct<surname:string,given:string,initial:string>>, authors_complete boolean"
+    refs = spark.createDataFrame([(1, "t", _names("john"), True), (1, "u", _names("john"), True), (2, "t", _names("john"), True), (2, "t", _names("j"), True)], row)
+    anchors = spark.createDataFrame([("p", "t", _names("john"), True), ("q", "u", _names("john"), True)], "paper_id string, title_norm string, authors_norm array<struct<surname:string,given:string,initial:string>>, authors_complete boolean")
+    got = {r["ref_id"]: (r["n_candidates"], r["paper_id"]) for r in resolve.anchor_candidates(refs, anchors).collect()}
+    assert got == {1: (2, "p"), 2: (1, "p")}
