@@ -223,3 +223,15 @@ def test_a_repeated_key_with_other_evidence_has_one_row(spark):
     anchors = spark.createDataFrame([("p", "t", _names("john"), True), ("q", "u", _names("john"), True)], "paper_id string, title_norm string, authors_norm array<struct<surname:string,given:string,initial:string>>, authors_complete boolean")
     got = {r["ref_id"]: (r["n_candidates"], r["paper_id"]) for r in resolve.anchor_candidates(refs, anchors).collect()}
     assert got == {1: (2, "p"), 2: (1, "p")}
+
+
+def test_components_are_folded_across_frames():
+    import pandas as pd
+
+    paper = lambda **k: reconcile._json({"title": "", "title_norm": "", "authors": [], "authors_norm": [], **k})
+    lines = [("a", "paper", None, paper(id="p", doi="10.5555/a")), ("a", "document", "s1", paper(doi="10.5555/a")), ("a", "document", "s2", paper(doi="10.5555/a", arxiv="2101.00001")), ("b", "document", "s3", paper(doi="10.5555/b"))]
+    frames = [pd.DataFrame(lines[k : k + 1], columns=["block", "kind", "sha", "payload"]) for k in range(4)]
+    out = pd.concat(reconcile._fold_all(iter(frames)))
+    done = out[out["kind"] == "document"]
+    assert list(zip(done["sha"], done["paper_id"], done["status"])) == [("s1", "p", "matched-doi"), ("s2", "p", "matched-doi"), ("s3", "doi:10.5555/b", "new")]
+    assert sorted(out[out["kind"] == "paper"]["paper_id"]) == ["doi:10.5555/b", "p"]
