@@ -118,7 +118,8 @@ def resolve_strong(refs: DataFrame, papers: DataFrame, manifest: DataFrame, key:
     Only citations of documents whose own paper is known take part, in the order of ``doc_seq``
     and ``ref_index``. Citations resolved by title and authors without identifiers are left
     for the next pass. Where every identifier of a block belongs to one paper that has them
-    all, which is the rule, joins decide; only the other blocks are folded in order."""
+    all, which is the rule, or all citations of a block name one work that no paper has yet, joins
+    decide; only the other blocks are folded in order."""
     sources = manifest.where("paper_id is not null").select("doc_sha", F.col("paper_id").alias("id")).join(papers.select("id"), "id", "left_semi").select("doc_sha").distinct()
     r = strong_ids(refs.join(sources, "doc_sha", "left_semi")).where("_doi is not null or _arxiv is not null")
     held = (F.col("status") == "resolved") & F.col("resolved_via").isin(*STRONG)
@@ -131,29 +132,45 @@ def resolve_strong(refs: DataFrame, papers: DataFrame, manifest: DataFrame, key:
         F.when(held, F.col("paper_id")).alias("kept"), F.when(held, F.col("resolved_via")).alias("kept_via"),
         F.col("doc_seq").cast("long").alias("doc_seq"), F.col("ref_index").cast("long").alias("ord"),
     )
+    # citations with the same identifiers share a block, so blocks are sought among the distinct ones
     keys = F.array_compact(F.array(F.concat(F.lit("d:"), "d"), F.concat(F.lit("a:"), "a")))
-    rows = stage(blocks(stage(left.unionByName(right).withColumn("keys", keys).withColumn("own", F.col("id")), "ids")).drop("keys", "own"), "blocks")
-    shape = rows.groupBy("block").agg(
-        F.count_if(F.col("kind") == "paper").alias("papers"), F.min(F.when(F.col("kind") == "paper", F.col("id"))).alias("paper"),
-        F.min(F.when(F.col("kind") == "paper", F.col("d"))).alias("pd"), F.min(F.when(F.col("kind") == "paper", F.col("a"))).alias("pa"),
-        F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("a").alias("a0"), F.max("a").alias("a1"), F.count_if(F.col("kind") == "ref").alias("refs"),
-    )
-    full = (
-        (F.col("papers") == 1) & F.col("d0").eqNullSafe(F.col("d1")) & F.col("a0").eqNullSafe(F.col("a1"))
-        & F.col("pd").eqNullSafe(F.col("d0")) & F.col("pa").eqNullSafe(F.col("a0"))
-    )
-    shape = stage(shape.where("refs > 0").select("block", "paper", F.coalesce(full, F.lit(False)).alias("simple")), "shape")
-    easy = rows.where("kind = 'ref'").join(shape.where("simple"), "block").select(
-        "id", F.col("paper").alias("paper_id"),
-        F.when(F.col("kept") == F.col("paper"), F.col("kept_via")).when(F.col("d").isNotNull(), "doi").otherwise("arxiv").alias("via"),
+    right = stage(right, "ids")
+    stub = F.when(F.col("d").isNotNull(), F.concat(F.lit("doi:"), "d")).otherwise(F.concat(F.lit("arxiv:"), "a"))  # as functions.ids.stub_paper_id
+    via = F.when(F.col("d").isNotNull(), "doi").otherwise("arxiv")
+    # what a citation keeps differs from what it would get by itself only in the way it was resolved
+    own_way = (F.col("kept") == stub) & ~F.col("kept_via").eqNullSafe(via)
+    pairs = right.groupBy("d", "a").agg(F.count(F.lit(1)).alias("refs"), F.count_if(own_way).alias("own_way"))
+    none = F.lit(None).cast("string")
+    seen = pairs.select("d", "a", none.alias("id"), "refs", "own_way").unionByName(left.select("d", "a", "id", F.lit(0).cast("long").alias("refs"), F.lit(0).cast("long").alias("own_way")))
+    seen = stage(blocks(stage(seen.withColumn("keys", keys).withColumn("own", none), "pairs")).drop("keys", "own"), "blocks")
+    paper = F.col("id").isNotNull()
+    shape = seen.groupBy("block").agg(
+        F.count_if(paper).alias("papers"), F.min("id").alias("paper"), F.min(F.when(paper, F.col("d"))).alias("pd"), F.min(F.when(paper, F.col("a"))).alias("pa"),
+        F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("a").alias("a0"), F.max("a").alias("a1"), F.sum("refs").alias("refs"), F.sum("own_way").alias("own_way"), F.count_if(F.col("d").isNull()).alias("no_d"),
     )
+    alike = F.col("d0").eqNullSafe(F.col("d1")) & F.col("a0").eqNullSafe(F.col("a1"))
+    full = (F.col("papers") == 1) & alike & F.col("pd").eqNullSafe(F.col("d0")) & F.col("pa").eqNullSafe(F.col("a0"))
+    # citations of one work that no paper has yet: the first makes the stub, and its id does not depend on which that is
+    fresh = (F.col("papers") == 0) & alike & ((F.col("no_d") == 0) | F.col("d0").isNull()) & (F.col("own_way") == 0)
+    shape = shape.where("refs > 0").select("block", F.coalesce("paper", F.when(F.col("d0").isNotNull(), F.concat(F.lit("doi:"), "d0")).otherwise(F.concat(F.lit("arxiv:"), "a0"))).alias("paper"), "d0", "a0", F.coalesce(full, F.lit(False)).alias("full"), F.coalesce(fresh, F.lit(False)).alias("fresh"))
+    shape = stage(shape, "shape")
+    found = stage(seen.where("id is null").select("d", "a", "block").join(shape, "block").select("d", "a", "block", "paper", "full", "fresh"), "found")
+    same = F.col("x.d").eqNullSafe(F.col("y.d")) & F.col("x.a").eqNullSafe(F.col("y.a"))
+    of = lambda which: right.alias("x").join(small_side(found.where(which)).alias("y"), same).select("x.*", "y.block", "y.paper", "y.fresh")
+    rows = of("full or fresh")
+    easy = rows.select("id", F.col("paper").alias("paper_id"), F.when(F.col("kept") == F.col("paper"), F.col("kept_via")).otherwise(via).alias("via"))
+    at = F.struct(F.col("doc_seq").isNull(), "doc_seq", F.col("ord").isNull(), "ord")
+    first = rows.where("fresh").groupBy("block").agg(F.min_by("year", at).alias("year"))
+    stubs = shape.where("fresh").join(first, "block").select(F.lit("new").alias("kind"), F.col("paper").alias("id"), F.col("paper").alias("paper_id"), none.alias("via"), F.col("d0").alias("d"), F.col("a0").alias("a"), "year")
+    open_ = shape.where("not full and not fresh")
+    papers_in = left.join(seen.where("id is not null").select("id", "d", "a", "block").distinct().join(open_.select("block"), "block", "left_semi").withColumnsRenamed({"d": "_d", "a": "_a", "id": "_i"}), (F.col("id") == F.col("_i")) & F.col("d").eqNullSafe(F.col("_d")) & F.col("a").eqNullSafe(F.col("_a"))).select(*left.columns, "block")
     hard = stage(
-        rows.join(shape.where("not simple"), "block", "left_semi").groupBy("block")
+        of("not full and not fresh").select(*left.columns, "block").unionByName(papers_in).groupBy("block")
         .applyInPandas(_fold, "kind string, id string, paper_id string, via string, d string, a string, year string"),
         "resolved",
     )
     resolved = easy.unionByName(hard.where("kind = 'ref' and paper_id is not null").select("id", "paper_id", "via"))
-    changed = hard.where("kind <> 'ref'").select(F.col("id").alias("cid"), F.col("d"), F.col("a"), F.col("year").alias("y"), (F.col("kind") == "new").alias("fresh"))
+    changed = hard.where("kind <> 'ref'").unionByName(stubs).select(F.col("id").alias("cid"), F.col("d"), F.col("a"), F.col("year").alias("y"), (F.col("kind") == "new").alias("fresh"))
     old = papers.join(changed.where("not fresh"), papers["id"] == F.col("cid"), "left").withColumns({
         "doi": F.when(F.coalesce("doi", F.lit("")) == "", F.coalesce("d", "doi")).otherwise(F.col("doi")),
         "arxiv": F.when(F.coalesce("arxiv", F.lit("")) == "", F.coalesce("a", "arxiv")).otherwise(F.col("arxiv")),

@@ -235,3 +235,17 @@ def test_components_are_folded_across_frames():
     done = out[out["kind"] == "document"]
     assert list(zip(done["sha"], done["paper_id"], done["status"])) == [("s1", "p", "matched-doi"), ("s2", "p", "matched-doi"), ("s3", "doi:10.5555/b", "new")]
     assert sorted(out[out["kind"] == "paper"]["paper_id"]) == ["doi:10.5555/b", "p"]
+
+
+def test_works_that_no_paper_has_need_no_fold(spark, monkeypatch):
+    def never(pdf):
+        raise AssertionError("folded")
+
+    refs = [_ref(1, "10.5555/n", year="1999"), _ref(2, "10.5555/n", "2101.00004", year="2000"), _ref(3, None, "2101.00005"), _ref(4, None, "2101.00005", paper="arxiv:2101.00005", via="arxiv"), _ref(5, "10.5555/n", paper="gone", via="doi")]
+    want, before = _strong(spark, [*refs, _ref(6, None, "2101.00004", year="2001")], [])  # a citation that comes by the arXiv id only: folded
+    monkeypatch.setattr(resolve, "_fold", never)
+    got, after = _strong(spark, refs, [])
+    assert got == {k: v for k, v in want.items() if k != 6} and want[6] == ("doi:10.5555/n", "arxiv")
+    assert got[1] == got[2] == got[5] == ("doi:10.5555/n", "doi") and got[3] == got[4] == ("arxiv:2101.00005", "arxiv")
+    assert {i: (p["doi"], p["arxiv"], p["year"]) for i, p in after.items()} == {i: (p["doi"], p["arxiv"], p["year"]) for i, p in before.items()}
+    assert after["doi:10.5555/n"]["arxiv"] == "2101.00004" and after["doi:10.5555/n"]["year"] == "1999"
